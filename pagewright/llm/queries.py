@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pagewright.llm import leakage, neardup, repetition
+from pagewright.llm import leakage, neardup, repetition, structure
 from pagewright.session import table
 
 
@@ -18,6 +19,22 @@ def p2_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition(table(spark, sf_dir, "pdf_extractions"))
 
 
+def _page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(record_kind, record_id, text) of extractions and regions."""
+    whole = table(spark, sf_dir, "pdf_extractions").select(F.lit("extraction").alias("record_kind"), F.col("doc_id").alias("record_id"), "text")
+    return whole.unionByName(table(spark, sf_dir, "native_regions").select(F.lit("region").alias("record_kind"), F.col("region_id").alias("record_id"), "text"))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of which more than half is lists, tables, forms or junk."""
+    return structure.text_statistics(_page_texts(spark, sf_dir), ["record_kind", "record_id"]).where("other_share > 0.5").select("record_kind", "record_id").distinct()
+
+
+def p4_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statistics and the structural profile of each text."""
+    return structure.text_statistics(_page_texts(spark, sf_dir), ["record_kind", "record_id"])
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of extractions whose sets of three successive words reach a similarity of 0.5."""
     return neardup.similar_pairs(table(spark, sf_dir, "pdf_extractions"), threshold=0.5, shingle=3, least=20).select("doc_id_a", "doc_id_b")
@@ -33,4 +50,4 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_repetition, p6_found, p6_classes, p7_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_repetition, p4_found, p4_statistics, p6_found, p6_classes, p7_found)}
