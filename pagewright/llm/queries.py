@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm import leakage, neardup, repetition, structure
+from pagewright.llm import encoding, leakage, neardup, repetition, structure
 from pagewright.session import table
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions whose text was decoded wrongly, wholly or in part."""
+    return encoding.garbled(table(spark, sf_dir, "native_regions")).select("region_id").distinct()
+
+
+def p1_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Those regions with the swap of code pages and, where it can be had, their right text."""
+    return encoding.garbled(table(spark, sf_dir, "native_regions")).select("region_id", "doc_id", "swap", "restored")
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Extractions of which at least 0.4 repeats."""
     return repetition.repetition(table(spark, sf_dir, "pdf_extractions"), divergence=False).where("share >= 0.4").select("doc_id").distinct()
@@ -50,4 +60,4 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_repetition, p4_found, p4_statistics, p6_found, p6_classes, p7_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_repetition, p4_found, p4_statistics, p6_found, p6_classes, p7_found)}
