@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm import encoding, leakage, neardup, repetition, structure
+from pagewright.llm import abuse, encoding, leakage, neardup, repetition, structure
 from pagewright.session import table
 
 
@@ -60,4 +60,19 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_repetition, p4_found, p4_statistics, p6_found, p6_classes, p7_found)}
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with an abusive, hateful or sexual passage."""
+    docs = table(spark, sf_dir, "documents")
+    return abuse.score(docs, abuse.fit(docs, table(spark, sf_dir, "review_labels"))).where("score >= 0.5").select("doc_id").distinct()
+
+
+def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of offending documents of each source, and the mean score of each kind; unknown sources count together."""
+    docs = table(spark, sf_dir, "documents")
+    marks = abuse.score(docs, abuse.fit(docs, table(spark, sf_dir, "review_labels"), kinds=True))
+    rated = docs.select("doc_id", "source").join(marks, "doc_id")
+    kinds = [F.round(F.avg(k), 6).alias(k) for k in abuse.KINDS]
+    return rated.groupBy("source").agg(F.count("*").alias("documents"), F.count_if(F.col("score") >= 0.5).alias("offending"), F.round(F.avg((F.col("score") >= 0.5).cast("double")), 6).alias("rate"), *kinds)
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_repetition, p4_found, p4_statistics, p6_found, p6_classes, p7_found, p9_found, p9_rates)}
