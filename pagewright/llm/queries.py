@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm import abuse, encoding, leakage, neardup, repetition, structure
+from pagewright.llm import abuse, encoding, leakage, neardup, repetition, scan, structure
 from pagewright.session import table
 
 
@@ -45,6 +45,11 @@ def p4_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return structure.text_statistics(_page_texts(spark, sf_dir), ["record_kind", "record_id"])
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The kinds of scan noise that each extraction and line holds."""
+    return scan.scan_noise(table(spark, sf_dir, "pdf_extractions"), table(spark, sf_dir, "ocr_lines"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of extractions whose sets of three successive words reach a similarity of 0.5."""
     return neardup.similar_pairs(table(spark, sf_dir, "pdf_extractions"), threshold=0.5, shingle=3, least=20).select("doc_id_a", "doc_id_b")
@@ -75,4 +80,4 @@ def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.groupBy("source").agg(F.count("*").alias("documents"), F.count_if(F.col("score") >= 0.5).alias("offending"), F.round(F.avg((F.col("score") >= 0.5).cast("double")), 6).alias("rate"), *kinds)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_repetition, p4_found, p4_statistics, p6_found, p6_classes, p7_found, p9_found, p9_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_repetition, p4_found, p4_statistics, p5_found, p6_found, p6_classes, p7_found, p9_found, p9_rates)}
