@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm import abuse, encoding, leakage, neardup, repetition, scan, structure
+from pagewright.llm import abuse, encoding, leakage, mixing, neardup, repetition, scan, structure
 from pagewright.session import table
 
 
@@ -65,6 +65,16 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
+def p8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each document is taken so that the sources reach their target shares."""
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"), mixing.default_tokenizer())[0]
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shares of tokens that the mixture reaches."""
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"), mixing.default_tokenizer())[1]
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with an abusive, hateful or sexual passage."""
     docs = table(spark, sf_dir, "documents")
@@ -80,4 +90,4 @@ def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.groupBy("source").agg(F.count("*").alias("documents"), F.count_if(F.col("score") >= 0.5).alias("offending"), F.round(F.avg((F.col("score") >= 0.5).cast("double")), 6).alias("rate"), *kinds)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_repetition, p4_found, p4_statistics, p5_found, p6_found, p6_classes, p7_found, p9_found, p9_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_repetition, p4_found, p4_statistics, p5_found, p6_found, p6_classes, p7_found, p8_mix, p8_shares, p9_found, p9_rates)}
