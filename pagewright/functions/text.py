@@ -132,8 +132,8 @@ def strip_annotations(c: Column) -> Column:
 
 
 def duration(seconds: Column) -> Column:
-    """The two largest units of a number of seconds, as in '2h 5m'."""
-    s = F.floor(F.greatest(seconds, F.lit(0)))
-    d, h, m, r = F.floor(s / 86400), F.floor(s / 3600) % 24, F.floor(s / 60) % 60, s % 60
-    part = lambda a, x, b, y: F.concat(a.cast("string"), F.lit(f"{x} "), b.cast("string"), F.lit(y))
-    return F.when(d > 0, part(d, "d", h, "h")).when(h > 0, part(h, "h", m, "m")).when(m > 0, part(m, "m", r, "s")).otherwise(F.concat(r.cast("string"), F.lit("s")))
+    """The two largest units of a number of seconds that aren't 0, as in '2h 5m'; halves of a second go to the even one."""
+    s = F.greatest(F.bround(seconds, 0).cast("bigint"), F.lit(0).cast("bigint"))
+    parts = ((F.floor(s / 86400), "d"), (F.floor(s / 3600) % 24, "h"), (F.floor(s / 60) % 60, "m"), (s % 60, "s"))
+    known = F.array_compact(F.array(*[F.when(n > 0, F.concat(n.cast("string"), F.lit(u))) for n, u in parts]))
+    return F.when(s > 0, F.array_join(F.slice(known, 1, 2), " ")).otherwise(F.lit("0s"))

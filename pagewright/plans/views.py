@@ -80,6 +80,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     e = table(spark, sf_dir, "events")
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    us = F.unix_micros("ts") - F.min(F.unix_micros("ts")).over(Window.partitionBy("user_id"))
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    us = micros - F.min(micros).over(Window.partitionBy("user_id"))
     cpu = F.sum(F.round(F.col("value") * 100).cast("bigint")).over(w.rowsBetween(Window.unboundedPreceding, 0))
     return e.select(F.col("user_id").alias("run_id"), F.row_number().over(w).cast("bigint").alias("seq"), "event_type", us.alias("elapsed_us"), (cpu - F.when(F.col("event_id") % 11 == 0, 300).otherwise(0)).alias("cpu_hundredths"), F.round(F.col("value") * 1000).cast("bigint").alias("memory_bytes"))

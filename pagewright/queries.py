@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pagewright.operators import incremental
-from pagewright.plans import page_queries, registry, text_queries  # noqa: F401
+from pagewright.plans import metric_queries, page_queries, registry, text_queries, tracking_queries  # noqa: F401
 from pagewright.session import table
 
 
