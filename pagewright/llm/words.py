@@ -41,27 +41,56 @@ def split(texts: Iterable[str], pattern: re.Pattern) -> tuple[np.ndarray, np.nda
     return np.repeat(np.arange(len(counts)), counts), codes, distinct
 
 
-def hashed(texts: Iterable[str], pattern: re.Pattern) -> tuple[np.ndarray, np.ndarray]:
+#: Every ASCII character that is no letter or digit becomes a space; other bytes belong to words.
+_SPACED = bytes(i if i >= 128 or chr(i).isalnum() else 32 for i in range(256))
+_OTHER = re.compile(r"[^\w\x00-\x7f]+")
+
+
+def word_bytes(text: str) -> list[bytes]:
+    """The words of a text in lower case, as WORD finds them, in UTF-8; several times faster than the pattern."""
+    text = text.lower()
+    if not text.isascii():
+        text = _OTHER.sub(" ", text)
+    return text.encode("utf-8", "surrogatepass").translate(_SPACED).split()
+
+
+def hashed(texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
     """(text number, 64-bit hash) of each word."""
-    owner, codes, distinct = split(texts, pattern)
-    return owner, np.array([xxhash.xxh64_intdigest(w) for w in distinct], dtype=np.uint64)[codes] if len(distinct) else np.zeros(0, np.uint64)
+    found: list[bytes] = []
+    counts = []
+    for t in texts:
+        w = word_bytes(t)
+        counts.append(len(w))
+        found += w
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    codes, distinct = pd.factorize(np.array(found, dtype=object))
+    return np.repeat(np.arange(len(counts)), counts), np.array([xxhash.xxh64_intdigest(w) for w in distinct], dtype=np.uint64)[codes]
+
+
+def by_owner(owner: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """The order by owner, then value; for owners below 65536 faster than a sort by two keys."""
+    first = np.argsort(value)
+    own = owner[first]
+    return first[np.argsort(own.astype(np.uint16) if not len(own) or own.max() < 65536 else own, kind="stable")]
 
 
 def shingle_sets(texts: Iterable[str], size: int, least: int) -> tuple[np.ndarray, np.ndarray]:
     """(text number, 64-bit hash) of the distinct runs of `size` words, sorted; texts of fewer than `least` words have none."""
-    owner, h = hashed(texts, WORD)
+    owner, h = hashed(texts)
     n = np.bincount(owner, minlength=int(owner[-1]) + 1 if len(owner) else 0)
     last = len(h) - size + 1
     if last <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    run = np.zeros(last, np.uint64)
-    for k in range(size):
-        run = mix(run ^ h[k : k + last])
+    run = h[:last].copy()
+    with np.errstate(over="ignore"):
+        for k in range(1, size):
+            run = ((run << np.uint64(21)) | (run >> np.uint64(43))) * _M1 + h[k : k + last]
+    run = mix(run)
     ok = (owner[:last] == owner[size - 1 :]) & (n[owner[:last]] >= max(least, size))
-    pair = np.empty(int(ok.sum()), dtype=[("t", np.int64), ("h", np.uint64)])
-    pair["t"], pair["h"] = owner[:last][ok], run[ok]
-    order = np.lexsort((pair["h"], pair["t"]))
-    t, h = pair["t"][order], pair["h"][order]
+    t, h = owner[:last][ok], run[ok]
+    order = by_owner(t, h)
+    t, h = t[order], h[order]
     new = np.ones(len(t), bool)
     new[1:] = (t[1:] != t[:-1]) | (h[1:] != h[:-1])
     return t[new], h[new]
