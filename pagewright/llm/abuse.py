@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 #: Labelled documents the model is fitted on at most (the rest, by a hash of their ids, is left out), weights, passage length in words.
 MOST_LABELLED, BITS, LONGEST = 20_000, 18, 14
 LEAST_POSITIVE = 2
-#: Scores below and above which a label that says otherwise is left out.
-DOUBT = (0.05, 0.6)
+#: Scores below and above which a label that says otherwise is left out, and the share of either sort that may be.
+DOUBT, MOST_WRONG = (0.05, 0.6), 0.2
 KINDS = ("abusive", "hateful", "sexual")
 
 _BREAK = re.compile("[-­¬]\\s*\n\\s*")
@@ -134,7 +134,7 @@ def train_robust(bags: Bags, y: np.ndarray, folds: int = 4) -> np.ndarray:
 
     A wrong label would otherwise be learned by heart from the words that happen to be in its document.
     """
-    fold = np.arange(bags.bags) % folds
+    fold = np.random.default_rng(0).permutation(bags.bags) % folds
     other = np.zeros(bags.bags)
     for k in range(folds):
         w = train(bags, y, (fold != k).astype(float), rounds=50)
@@ -142,7 +142,11 @@ def train_robust(bags: Bags, y: np.ndarray, folds: int = 4) -> np.ndarray:
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         doc = -np.expm1(np.bincount(bags.bag, weights=np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=bags.bags))
         other[fold == k] = doc[fold == k]
-    wrong = ((y > 0.5) & (other < DOUBT[0])) | ((y < 0.5) & (other > DOUBT[1]))
+    wrong = np.zeros(bags.bags, bool)
+    for own, doubt, bound in ((y > 0.5, other, DOUBT[0]), (y <= 0.5, 1 - other, 1 - DOUBT[1])):
+        worst = np.sort(doubt[own])[: int(MOST_WRONG * own.sum())]
+        if len(worst):
+            wrong |= own & (doubt < bound) & (doubt <= worst[-1])
     kept = y[~wrong]
     return train(bags, y, (~wrong).astype(float)) if kept.size and kept.min() < 0.5 < kept.max() else train(bags, y)
 
