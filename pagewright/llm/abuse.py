@@ -23,6 +23,10 @@ MOST_LABELLED, BITS, LONGEST = 20_000, 18, 14
 LEAST_POSITIVE = 2
 #: Scores below and above which a label that says otherwise is left out, and the share of either sort that may be.
 DOUBT, MOST_WRONG = (0.05, 0.6), 0.2
+#: Score from which a document is taken for offending.
+OFFENDING = 0.3
+#: Support by other documents from which an offensive label isn't doubted.
+SUPPORTED = 5.0
 KINDS = ("abusive", "hateful", "sexual")
 
 _BREAK = re.compile("[-­¬]\\s*\n\\s*")
@@ -129,8 +133,24 @@ def train(bags: Bags, y: np.ndarray, weight: np.ndarray | None = None, rounds: i
     return out
 
 
+def support(bags: Bags, y: np.ndarray) -> np.ndarray:
+    """How much other offensive documents speak for each document: the best sum over a passage of its features' log odds above 2, its own label not counted."""
+    used, at = np.unique(bags.at, return_inverse=True)
+    pair = np.unique(at.astype(np.int64) * bags.bags + bags.bag[bags.row])
+    f, d = pair // bags.bags, pair % bags.bags
+    bad = np.bincount(f, weights=y[d] > 0.5, minlength=len(used))
+    good = np.bincount(f, weights=y[d] <= 0.5, minlength=len(used))
+    n = max(1.0, (y > 0.5).sum()), max(1.0, (y <= 0.5).sum())
+    own = y[bags.bag[bags.row]] > 0.5
+    odds = np.log((bad[at] - own + 0.25) / n[0]) - np.log((good[at] + 0.25) / n[1])
+    passage = np.bincount(bags.row, weights=np.maximum(odds - 2, 0) * (bad[at] - own >= 2), minlength=bags.rows)
+    out = np.zeros(bags.bags)
+    np.maximum.at(out, bags.bag, passage)
+    return out
+
+
 def train_robust(bags: Bags, y: np.ndarray, folds: int = 4) -> np.ndarray:
-    """Train on all folds but one, leave out the labels in that one which the model contradicts outright, train on the rest.
+    """Train on all folds but one, leave out the labels in that one which the model contradicts outright and no other documents support, train on the rest.
 
     A wrong label would otherwise be learned by heart from the words that happen to be in its document.
     """
@@ -142,6 +162,7 @@ def train_robust(bags: Bags, y: np.ndarray, folds: int = 4) -> np.ndarray:
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         doc = -np.expm1(np.bincount(bags.bag, weights=np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=bags.bags))
         other[fold == k] = doc[fold == k]
+    other = np.where((y > 0.5) & (support(bags, y) >= SUPPORTED), 1.0, other)
     wrong = np.zeros(bags.bags, bool)
     for own, doubt, bound in ((y > 0.5, other, DOUBT[0]), (y <= 0.5, 1 - other, 1 - DOUBT[1])):
         worst = np.sort(doubt[own])[: int(MOST_WRONG * own.sum())]

@@ -50,6 +50,11 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan.scan_noise(table(spark, sf_dir, "pdf_extractions"), table(spark, sf_dir, "ocr_lines"))
 
 
+def p5_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages of extractions and lines as readable paragraphs."""
+    return scan.repaired_pages(table(spark, sf_dir, "pdf_extractions"), table(spark, sf_dir, "ocr_lines"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of extractions whose sets of three successive words reach a similarity of 0.5."""
     return neardup.similar_pairs(table(spark, sf_dir, "pdf_extractions"), threshold=0.5, shingle=3, least=20).select("doc_id_a", "doc_id_b")
@@ -78,7 +83,7 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with an abusive, hateful or sexual passage."""
     docs = table(spark, sf_dir, "documents")
-    return abuse.score(docs, abuse.fit(docs, table(spark, sf_dir, "review_labels"))).where("score >= 0.5").select("doc_id").distinct()
+    return abuse.score(docs, abuse.fit(docs, table(spark, sf_dir, "review_labels"))).where(F.col("score") >= abuse.OFFENDING).select("doc_id").distinct()
 
 
 def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +92,7 @@ def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = abuse.score(docs, abuse.fit(docs, table(spark, sf_dir, "review_labels"), kinds=True))
     rated = docs.select("doc_id", "source").join(marks, "doc_id")
     kinds = [F.round(F.avg(k), 6).alias(k) for k in abuse.KINDS]
-    return rated.groupBy("source").agg(F.count("*").alias("documents"), F.count_if(F.col("score") >= 0.5).alias("offending"), F.round(F.avg((F.col("score") >= 0.5).cast("double")), 6).alias("rate"), *kinds)
+    return rated.groupBy("source").agg(F.count("*").alias("documents"), F.count_if(F.col("score") >= abuse.OFFENDING).alias("offending"), F.round(F.avg((F.col("score") >= abuse.OFFENDING).cast("double")), 6).alias("rate"), *kinds)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_repetition, p4_found, p4_statistics, p5_found, p6_found, p6_classes, p7_found, p8_mix, p8_shares, p9_found, p9_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_repetition, p4_found, p4_statistics, p5_found, p5_repaired, p6_found, p6_classes, p7_found, p8_mix, p8_shares, p9_found, p9_rates)}
