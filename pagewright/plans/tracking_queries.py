@@ -230,7 +230,7 @@ def a7_batch_summary(spark, sf_dir):
 
 @query(f"""WITH {TK}, e AS (SELECT DISTINCT doc_id, text FROM pdf_extractions), d AS (SELECT DISTINCT file_hash FROM tk WHERE status = 'COMPLETE')
     SELECT tk.id, CASE WHEN status = 'COMPLETE' THEN 'skipped' WHEN tk.file_hash IN (SELECT file_hash FROM d WHERE file_hash IS NOT NULL) THEN 'reused' WHEN tk.id IN (SELECT document_id FROM errors) THEN 'failed' ELSE 'extract' END AS outcome FROM tk""")
-def p1_status_outcome(spark, sf_dir):
+def process_p1_status_outcome(spark, sf_dir):
     docs = _docs(spark, sf_dir)
     done = docs.where("status = 'COMPLETE' AND file_hash IS NOT NULL").select("file_hash").distinct().withColumn("reusable", F.lit(True))
     bad = table(spark, sf_dir, "errors").select(F.col("document_id").alias("id")).distinct().withColumn("broken", F.lit(True))
