@@ -342,4 +342,4 @@ def f5_assemble_page(spark, sf_dir):
     items = F.array_sort(F.collect_list(F.struct("idx", "line_id", "text")))
     seen = views.lines(spark, sf_dir).where("text IS NOT NULL").groupBy(*PAGE).agg(F.array_join(F.transform(items, lambda s: s.text), "\n").alias("lines"))
     text = F.when(F.col("lines").isNull(), F.col("text")).when(F.col("flagged") | T.is_blank(F.col("text")), F.col("lines")).otherwise(F.concat_ws("\n\n", "text", "lines"))
-    return pages.join(seen, PAGE, "left").select(*PAGE, F.sha2(text, 256).alias("hash"))
+    return pages.join(seen, PAGE, "left").select(*PAGE, F.sha2(text, 256).alias("hash")).distinct()

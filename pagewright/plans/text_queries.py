@@ -16,7 +16,11 @@ def _t():
 
 
 def _pages(spark, sf_dir, **columns):
-    return views.pages(spark, sf_dir).select("doc_id", "page_no", *[c.alias(n) for n, c in columns.items()])
+    return views.pages(spark, sf_dir).select("doc_id", "page_no", *[c.alias(n) for n, c in columns.items()]).distinct()
+
+
+def _assessed(spark, sf_dir):
+    return quality.assess_pages(views.pages(spark, sf_dir)).distinct()
 
 
 @query(f"WITH {S.A} SELECT doc_id, page_no, r1 AS empty_text FROM a")
@@ -56,13 +60,13 @@ def t7_suspicious_patterns(spark, sf_dir):
 
 @query(f"WITH {S.A} SELECT doc_id, page_no, array_to_string(reasons, ',') AS reasons, len(reasons) > 0 AS ocr_recommended FROM s")
 def t8_reasons(spark, sf_dir):
-    return quality.assess_pages(views.pages(spark, sf_dir)).select("doc_id", "page_no", F.array_join("reasons", ",").alias("reasons"), "ocr_recommended")
+    return _assessed(spark, sf_dir).select("doc_id", "page_no", F.array_join("reasons", ",").alias("reasons"), "ocr_recommended")
 
 
 @query(f"""WITH {S.A} SELECT doc_id, count(*) AS pages, coalesce(array_to_string(list_sort(list(page_no) FILTER (len(reasons) > 0)), ','), '') AS flagged_pages, bool_or(len(reasons) > 0) AS ocr_recommended
     FROM s GROUP BY doc_id""")
 def t10_document_assessment(spark, sf_dir):
-    rows = quality.assess_documents(quality.assess_pages(views.pages(spark, sf_dir)))
+    rows = quality.assess_documents(_assessed(spark, sf_dir))
     return rows.withColumn("flagged_pages", F.array_join("flagged_pages", ","))
 
 
@@ -77,31 +81,31 @@ def _image_pages(spark, sf_dir):
     FROM s LEFT JOIN im ON im.doc_id = s.doc_id AND im.page_no = s.page_no)
     SELECT doc_id, CASE WHEN count(why) = 0 THEN 'native' ELSE 'ocr' END AS workload_type, coalesce(arg_min(why, coalesce(page_no, -1)) FILTER (why IS NOT NULL), 'confident_native_text') AS reason FROM w GROUP BY doc_id""")
 def c1_classify_document(spark, sf_dir):
-    return quality.classify(quality.assess_pages(views.pages(spark, sf_dir)), _image_pages(spark, sf_dir))
+    return quality.classify(_assessed(spark, sf_dir), _image_pages(spark, sf_dir))
 
 
 @query(f"WITH {S.A}, {_IMG} SELECT doc_id, page_no FROM s WHERE len(reasons) > 0 AND page_no IS NOT NULL UNION SELECT doc_id, page_no FROM im WHERE page_no IS NOT NULL")
 def c4_pages_to_ocr(spark, sf_dir):
-    flagged = quality.assess_pages(views.pages(spark, sf_dir)).where("ocr_recommended AND page_no IS NOT NULL").select("doc_id", "page_no")
+    flagged = _assessed(spark, sf_dir).where("ocr_recommended AND page_no IS NOT NULL").select("doc_id", "page_no")
     return flagged.unionByName(_image_pages(spark, sf_dir).where("page_no IS NOT NULL")).distinct()
 
 
 @query(f"""WITH {S.A}, {_IMG} SELECT doc_id, CASE WHEN bool_or(o) THEN 'ocr' ELSE 'native' END AS method FROM (SELECT doc_id, len(reasons) > 0 AS o FROM s UNION ALL SELECT doc_id, true FROM im) GROUP BY doc_id""")
 def c5_extraction_method(spark, sf_dir):
-    flags = quality.assess_pages(views.pages(spark, sf_dir)).select("doc_id", F.col("ocr_recommended").alias("o"))
+    flags = _assessed(spark, sf_dir).select("doc_id", F.col("ocr_recommended").alias("o"))
     both = flags.unionByName(_image_pages(spark, sf_dir).select("doc_id", F.lit(True).alias("o")))
     return both.groupBy("doc_id").agg(F.when(F.max("o"), "ocr").otherwise("native").alias("method"))
 
 
 @query(f"WITH {S.A} SELECT doc_id, arg_min(reasons[1], page_no) FILTER (len(reasons) > 0) AS first_reason FROM s WHERE page_no IS NOT NULL GROUP BY doc_id")
 def w5_first_reason(spark, sf_dir):
-    rows = quality.assess_pages(views.pages(spark, sf_dir)).where("page_no IS NOT NULL")
+    rows = _assessed(spark, sf_dir).where("page_no IS NOT NULL")
     return rows.groupBy("doc_id").agg(F.min_by(F.get("reasons", 0), F.when(F.size("reasons") > 0, F.col("page_no"))).alias("first_reason"))
 
 
 @query(f"WITH {S.A} SELECT reason, count(*) AS pages FROM (SELECT unnest(CASE WHEN len(reasons) > 0 THEN reasons ELSE ['none'] END) AS reason FROM s) GROUP BY reason")
 def a8_reason_histogram(spark, sf_dir):
-    rows = quality.assess_pages(views.pages(spark, sf_dir))
+    rows = _assessed(spark, sf_dir)
     return rows.select(F.explode(F.when(F.size("reasons") > 0, F.col("reasons")).otherwise(F.array(F.lit("none")))).alias("reason")).groupBy("reason").agg(F.count("*").alias("pages"))
 
 
@@ -112,8 +116,10 @@ def o5_page_union(spark, sf_dir):
 
 @query(f"WITH {S.PG} SELECT doc_id, page_no, length(text) AS characters, sha256(text) AS hash FROM own")
 def w1_page_segmentation(spark, sf_dir):
-    rows = transcript.split_pages(views.extractions(spark, sf_dir))
-    return rows.select("doc_id", "page_no", F.length("text").alias("characters"), F.sha2("text", 256).alias("hash"))
+    from pagewright.session import table
+
+    rows = transcript.split_pages(table(spark, sf_dir, "pdf_extractions"))
+    return rows.select("doc_id", "page_no", F.length("text").alias("characters"), F.sha2("text", 256).alias("hash")).distinct()
 
 
 _TR = "tr AS (SELECT DISTINCT e.doc_id, 'DOCUMENT: ' || d.filename || E'\\n\\n' || e.text || E'\\n' AS text FROM pdf_extractions e JOIN tracked_documents d ON d.id = e.doc_id WHERE e.text IS NOT NULL AND d.filename IS NOT NULL)"

@@ -23,7 +23,7 @@ def _docs(spark, sf_dir):
 
 @query("SELECT doc_id, sha256(text) AS hash FROM (SELECT DISTINCT doc_id, text FROM pdf_extractions) WHERE text IS NOT NULL")
 def s2_content_hash(spark, sf_dir):
-    return views.extractions(spark, sf_dir).where("text IS NOT NULL").select("doc_id", F.sha2("text", 256).alias("hash"))
+    return table(spark, sf_dir, "pdf_extractions").where("text IS NOT NULL").select("doc_id", F.sha2("text", 256).alias("hash")).distinct()
 
 
 @query(f"""WITH {TK}, f AS (SELECT DISTINCT file_path, {_H} AS file_hash FROM file_arrivals WHERE file_path IS NOT NULL), d AS (SELECT DISTINCT file_path, file_hash FROM tk WHERE status = 'COMPLETE' AND completed_at IS NOT NULL)

@@ -25,11 +25,14 @@ def extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, page_no, text): each page of each extraction, and the special rows as pages of their own."""
+    """(doc_id, page_no, text): each page of each extraction, and the special rows as pages of their own.
+
+    Repeated rows give repeated pages: queries drop them from their own small results, so that no text is shuffled.
+    """
     special = spark.createDataFrame([(d, 1, t) for d, t in SPECIAL], "doc_id bigint, page_no int, text string")
     from pagewright.operators.transcript import split_pages
 
-    return split_pages(extractions(spark, sf_dir).select("doc_id", "text")).unionByName(special)
+    return split_pages(table(spark, sf_dir, "pdf_extractions").select("doc_id", "text")).unionByName(special)
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
