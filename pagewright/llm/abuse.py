@@ -205,7 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, kinds: bool = False) -> np.ndarray:
     marks = labels.select("doc_id", "label", "reviewer").distinct().where("doc_id IS NOT NULL AND label IS NOT NULL")
     marks = marks.groupBy("doc_id").agg(F.avg((F.col("label") != "none").cast("double")).alias("any"), *target)
     marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_LABELLED)
-    rows = docs.select("doc_id", "text").where("text IS NOT NULL").dropDuplicates(["doc_id"]).join(F.broadcast(marks), "doc_id").orderBy("doc_id").collect()
+    rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(marks), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
     targets = ["any", *KINDS] if kinds else ["any"]
     bags = Bags([r["text"] for r in rows])
     out = np.zeros((len(targets), (1 << BITS) + 1))
