@@ -72,8 +72,9 @@ def mix(docs: DataFrame, targets: DataFrame, tokenizer: str, total: float | None
     copies, and shares of 0.
     """
     aims = {r["source"]: (r["target_share"], r["max_repeats"]) for r in targets.select("source", "target_share", "max_repeats").distinct().collect() if r["source"] is not None and r["target_share"] and r["max_repeats"]}
-    wanted = docs.select("doc_id", "source", "text").where(F.col("source").isin(list(aims)) if aims else F.lit(False)).dropDuplicates(["doc_id"])
-    sized = materialise(token_counts(wanted, tokenizer), "mix-tokens")
+    wanted = docs.select("doc_id", "source", "text").where(F.col("source").isin(list(aims)) if aims else F.lit(False))
+    # Repeated rows are dropped from the counts, not from the texts, which are never shuffled.
+    sized = materialise(token_counts(wanted, tokenizer).dropDuplicates(["doc_id"]), "mix-tokens")
     sizes = materialise(sized.where("tokens > 0").groupBy("source", "tokens").agg(F.count("*").alias("n")), "mix-sizes")
     held = {r["source"]: (r["tokens"], r["n"]) for r in sizes.groupBy("source").agg(F.sum(F.col("tokens") * F.col("n")).alias("tokens"), F.sum("n").alias("n")).collect()}
     whole = sum(aims[s][0] for s in held) or 1.0
