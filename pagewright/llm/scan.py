@@ -4,7 +4,8 @@ Method: lines at page edges that come again on other pages of their document are
 which characters that recognisers confuse are the same; what such lines look like, by their words, also tells the
 header of a document of one page. Page numbers are told by their form. Line ends are joined by the words of the corpus:
 a hyphen is dropped where the joined word is commoner than the compound. A word is misread if another of the same
-skeleton is far commoner.
+skeleton is far commoner; how far depends on whether the characters confused are confused in other words too, so that
+value isn't taken for valve. All these are ratios of counts: a corpus that is repeated gives the same.
 
 The corpus's words are counted over all texts. Only the commonest VOCABULARY of them are sent around; a word that isn't
 among them counts as seen less often than any of these.
@@ -24,8 +25,12 @@ from pyspark.sql import functions as F
 
 from pagewright.session import materialise
 
-#: Words sent around; how often the right spelling is commoner than a wrong one at least, if that is seen up to FEW times and beyond; how often it is seen at least.
-VOCABULARY, RATIO, STEADY, FEW, LEAST = 200_000, 12, 45, 4, 8
+#: Words sent around.
+VOCABULARY = 200_000
+#: How often the right spelling is commoner than a wrong one at least; if the wrong one could be a word and its confusion is hardly seen in others; share of all sightings that the known words make up.
+RATIO, STEADY, KNOWN = 12, 45, 0.985
+#: What an edge word's rate is raised by, among header words and body words.
+FLOOR = 1e-3
 #: Lines from either end of a page that can be furniture, and their length.
 EDGE, LONGEST = 2, 80
 
@@ -45,6 +50,9 @@ _BREAK = ("-", "­", "¬")
 _SAME = str.maketrans({"0": "o", "1": "l", "|": "l", "i": "l", "!": "l", "5": "s", "@": "a", "9": "g", "e": "c", "t": "f", "v": "u", "b": "h", "8": "h", "2": "z", "6": "g"})
 _PAIRS = (("vv", "w"), ("rn", "m"))
 _LATER = (("ll", "h"), ("cl", "d"))
+#: Confusions that hardly ever make one word of another.
+_HARMLESS = {("e", "c"), ("m", "rn"), ("w", "vv")}
+_TAKEN = tuple(x for a, b in (("rn", "m"), ("vv", "w"), ("cl", "d"), ("li", "h"), ("ll", "h"), ("il", "b"), ("li", "b")) for x in ((a, b), (b, a)))
 
 
 def raw_tokens(text: str, table: bytes = _APART) -> list[bytes]:
@@ -69,6 +77,36 @@ def skeleton(word: str) -> str:
     return word
 
 
+def confusions(right: str, wrong: str) -> set[tuple[str, str]]:
+    """What was taken for what in a spelling of a word, from its start on."""
+    out, i, j = set(), 0, 0
+    while i < len(right) or j < len(wrong):
+        if right[i : i + 1] == wrong[j : j + 1]:
+            i, j = i + 1, j + 1
+            continue
+        a, b = next(((a, b) for a, b in _TAKEN if right.startswith(a, i) and wrong.startswith(b, j)), (right[i : i + 1], wrong[j : j + 1]))
+        out.add((a, b))
+        i, j = i + len(a), j + len(b)
+    return out
+
+
+def misread(candidates: list[tuple[str, int, str, int]]) -> dict[str, str]:
+    """The right spelling of each wrong one, from (spelling, its count, the commonest of its skeleton, that one's count).
+
+    What has a digit or sign in it is no word, nor is what is never seen but in halves. Another spelling could be a word
+    of its own; it needs no more than RATIO if each of its confusions is harmless or seen as often in other spellings together.
+    """
+    taken: Counter = Counter()
+    made = {}
+    for x, own, t, n in candidates:
+        if own and x.isalpha() and n >= RATIO * own:
+            made[x] = confusions(t, x)
+            for c in made[x]:
+                taken[c] += own
+    far = lambda x, own: STEADY if x in made and any(taken[c] < 2 * own for c in made[x] - _HARMLESS) else RATIO
+    return {x: t for x, own, t, n in candidates if n and n >= far(x, own) * own}
+
+
 @functools.lru_cache(maxsize=100_000)
 def line_skeleton(line: str) -> str:
     """The skeleton of a line, without a page number beside it; whole numbers and codes are all the same."""
@@ -104,6 +142,10 @@ def is_word(token: str) -> bool:
     return letters >= 1 and len(token) >= 2 and marks * 2 <= len(token) and not any(c.isupper() for c in token[1:])
 
 
+def can_be_misread(token: str) -> bool:
+    return is_word(token) and (len(token) > 2 or not token.isalpha())
+
+
 def split_parts(line: str, after: str | None) -> tuple[str, str] | None:
     """The two halves of a word that a line may be broken in, if it ends in a hyphen and goes on in a small letter."""
     if not line.endswith(_BREAK) or len(line) < 2 or not after:
@@ -126,7 +168,13 @@ class Lexicon:
                 if k not in best or (n, w) > best[k]:
                     best[k] = (n, w)
         self.best = best
-        self._right: dict[str, str] = {}
+        self.wrong = misread([(x, own, t, n) for x, own in words.items() for n, t in [best.get(skeleton(x), (0, x))] if t != x and can_be_misread(x)])
+        # The commonest words that make up KNOWN of all sightings.
+        left, self.least = KNOWN * sum(words.values()), 1
+        for n, k in sorted(Counter(words.values()).items(), reverse=True):
+            if left <= 0:
+                break
+            left, self.least = left - n * k, max(n, 1)
         self._fine: set[bytes] = set()
 
     def doubtful(self, text: str) -> set[str]:
@@ -143,14 +191,13 @@ class Lexicon:
 
     def right(self, token: str) -> str:
         """The spelling of a token in lower case: itself unless it is misread."""
-        if token not in self._right:
-            if len(self._right) > 500_000:
-                self._right.clear()
-            n, w = self.best.get(skeleton(token), (0, token))
-            own = self.words.get(token, 0)
-            wrong = w != token and n >= LEAST and n >= (RATIO if own <= FEW else STEADY) * own and is_word(token) and (len(token) > 2 or not token.isalpha())
-            self._right[token] = w if wrong else token
-        return self._right[token]
+        if token in self.words:
+            return self.wrong.get(token, token)
+        # Seen only in halves, so far.
+        return self.best.get(skeleton(token), (0, token))[1] if can_be_misread(token) else token
+
+    def known(self, token: str) -> bool:
+        return self.words.get(self.right(token), 0) >= self.least
 
     def is_split(self, line: str, after: str | None) -> bool:
         """Whether a line ends inside a word that was split there."""
@@ -167,7 +214,7 @@ class Lexicon:
         if whole or compound:
             return whole > compound
         # Seldom words: two words of their own make a compound, else it is one word.
-        return not (self.words.get(self.right(a), 0) >= LEAST and self.words.get(self.right(b), 0) >= LEAST)
+        return not (self.known(a) and self.known(b))
 
     def is_header(self, line: str) -> bool:
         """Whether a line's words are those of running headers."""
@@ -214,8 +261,8 @@ def _lexicon(counts: DataFrame) -> Lexicon:
         rows = counts.where(F.col("kind") == kind).select("word", "n").orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
         got[kind] = {r["word"]: r["n"] for r in rows}
     h, b = got["h"], got["b"]
-    ph, pb = sum(h.values()) + 1, sum(b.values()) + 1
-    odds = {w: math.log((h.get(w, 0) + 0.5) / ph) - math.log((b.get(w, 0) + 0.5) / pb) for w in {*h, *b}}
+    ph, pb = max(sum(h.values()), 1), max(sum(b.values()), 1)
+    odds = {w: math.log(h.get(w, 0) / ph + FLOOR) - math.log(b.get(w, 0) / pb + FLOOR) for w in {*h, *b}}
     return Lexicon(got["w"], got["c"], odds)
 
 
@@ -298,7 +345,7 @@ def _body_noise(lex: Lexicon, line: str, before: str | None, after: str | None)
         words = words[1:]
     if not misread and bad and not bad.isdisjoint(words):
         # Among codes or junk a token that could be a word isn't one.
-        misread = 2 * sum(lex.words.get(lex.right(t.lower()), 0) >= LEAST for t in words if is_word(t)) > len(raw)
+        misread = 2 * sum(lex.known(t.lower()) for t in words if is_word(t)) > len(raw)
     return split, misread
 
 

@@ -65,3 +65,17 @@ def test_repaired_pages(spark):
     assert len(got) == 3 and len(rows) == 33
     assert got["extraction", 1, 1] == BODY[0] + " pump was started. The intermediate shaft and the spring-loaded cover were cleaned.\n\n- first item\n\n- second item"
     assert got["ocr_page", 5, 1] == "The upper valve was checked by the crew before the intermediate shaft was turned."
+
+
+def test_a_corpus_repeated_ten_times_gives_the_same_rows(spark):
+    # 'r0se' is 1 of 36 sightings, 'value' a word of its own at 1 of 40, 'platc' and 'whcn' are wrong; seven more are too few to repair by.
+    lines = ["the rose valve was clean"] * 35 + ["the r0se valve was clean", "the valve platc was clean whcn cold", "the value was clean"] + ["the valve was clean"] * 4 + ["the plate was clean when cold"] * 24
+    wrong = {35: "misread", 36: "misread"}
+
+    def rows(times):
+        made = [(1000 * k + i, 1000 * k + i, "tesseract", 1, 0, t, "") for k in range(times) for i, t in enumerate(lines)]
+        return {tuple(r) for r in scan.scan_noise(spark.createDataFrame([], EX), spark.createDataFrame(made, LN)).collect()}
+
+    once, ten = rows(1), rows(10)
+    assert once == {("ocr_line", i, n) for i, n in wrong.items()}
+    assert ten == {("ocr_line", 1000 * k + i, n) for k in range(10) for _, i, n in once}
