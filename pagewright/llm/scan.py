@@ -7,8 +7,8 @@ a hyphen is dropped where the joined word is commoner than the compound. A word
 skeleton is far commoner; how far depends on whether the characters confused are confused in other words too, so that
 value isn't taken for valve. All these are ratios of counts: a corpus that is repeated gives the same.
 
-The corpus's words are counted over all texts. Only the commonest VOCABULARY of them are sent around; a word that isn't
-among them counts as seen less often than any of these.
+The corpus's words are counted over all texts and compared within their skeletons where they are. What is sent around is
+whole: the wrong spellings, the known words, and what was found for the line ends and edge lines that occur.
 """
 
 from __future__ import annotations
@@ -25,8 +25,6 @@ from pyspark.sql import functions as F
 
 from pagewright.session import materialise
 
-#: Words sent around.
-VOCABULARY = 200_000
 #: How often the right spelling is commoner than a wrong one at least; if the wrong one could be a word and its confusion is hardly seen in others; share of all sightings that the known words make up.
 RATIO, STEADY, KNOWN = 12, 45, 0.985
 #: What an edge word's rate is raised by, among header words and body words.
@@ -157,24 +155,10 @@ def split_parts(line: str, after: str | None) -> tuple[str, str] | None:
 
 
 class Lexicon:
-    """What is known of the corpus's words, compounds and header words."""
-
-    def __init__(self, words: dict[str, int], compounds: dict[str, int], odds: dict[str, float]):
-        self.words, self.compounds, self.odds = words, compounds, odds
-        best: dict[str, tuple[int, str]] = {}
-        for w, n in words.items():
-            if w.isalpha():
-                k = skeleton(w)
-                if k not in best or (n, w) > best[k]:
-                    best[k] = (n, w)
-        self.best = best
-        self.wrong = misread([(x, own, t, n) for x, own in words.items() for n, t in [best.get(skeleton(x), (0, x))] if t != x and can_be_misread(x)])
-        # The commonest words that make up KNOWN of all sightings.
-        left, self.least = KNOWN * sum(words.values()), 1
-        for n, k in sorted(Counter(words.values()).items(), reverse=True):
-            if left <= 0:
-                break
-            left, self.least = left - n * k, max(n, 1)
+    """What was found out about the corpus's words: the right spellings of wrong ones, the known words, the parts of split words, the skeletons of headers."""
+
+    def __init__(self, wrong: dict[str, str], known: set[str], splits: set[tuple[str, str]], headers: set[str]):
+        self.wrong, self.commonest, self.splits, self.headers = wrong, known, splits, headers
         self._fine: set[bytes] = set()
 
     def doubtful(self, text: str) -> set[str]:
@@ -191,13 +175,10 @@ class Lexicon:
 
     def right(self, token: str) -> str:
         """The spelling of a token in lower case: itself unless it is misread."""
-        if token in self.words:
-            return self.wrong.get(token, token)
-        # Seen only in halves, so far.
-        return self.best.get(skeleton(token), (0, token))[1] if can_be_misread(token) else token
+        return self.wrong.get(token, token)
 
     def known(self, token: str) -> bool:
-        return self.words.get(self.right(token), 0) >= self.least
+        return self.right(token) in self.commonest
 
     def is_split(self, line: str, after: str | None) -> bool:
         """Whether a line ends inside a word that was split there."""
@@ -208,26 +189,25 @@ class Lexicon:
             return len(line) > 1 and (line[-2].isalnum() or line[-2] in "@|")
         if not parts:
             return False
-        a, b = (p.lower() for p in parts)
-        joined = self.right(a + b)
-        whole, compound = self.words.get(joined, 0), self.compounds.get(f"{self.right(a)}-{self.right(b)}", 0)
-        if whole or compound:
-            return whole > compound
-        # Seldom words: two words of their own make a compound, else it is one word.
-        return not (self.known(a) and self.known(b))
+        return tuple(p.lower() for p in parts) in self.splits
 
     def is_header(self, line: str) -> bool:
         """Whether a line's words are those of running headers."""
-        keys = line_skeleton(line).split()
-        return bool(keys) and _can_be_header(line) and sum(self.odds.get(k, 0.0) for k in keys) > 2.0
+        return _can_be_header(line) and line_skeleton(line) in self.headers
 
 
-def _count(n: Counter, lines: list[str]) -> None:
-    """Count the words of lines that follow each other, hyphens kept; halves of broken words are left out."""
+def _count(n: Counter, ends: set, lines: list[str], after: str | None = None) -> None:
+    """Count the words of lines that follow each other, hyphens kept; halves of broken words count as seen 0 times, as do the words they make. ends: gets the halves."""
     if any(x.endswith(_BREAK) for x in lines):
         whole, skip = [], False
-        for x in lines:
+        for x, then in zip(lines, [*lines[1:], after]):
             broken = x.endswith(_BREAK)
+            if broken and (parts := split_parts(x, then)):
+                a, b = (p.lower() for p in parts)
+                ends.add((a, b))
+                _occur(n, f"{a} {b} {a}{b}")
+            if skip or broken:
+                _occur(n, x)
             x = x.partition(" ")[2] if skip else x
             whole.append(x.rpartition(" ")[0] if broken else x)
             skip = broken
@@ -235,54 +215,102 @@ def _count(n: Counter, lines: list[str]) -> None:
     n.update(raw_tokens("\n".join(lines).lower(), _WITH_HYPHENS))
 
 
-def _rows(seen: Counter, headers: Counter, bodies: Counter) -> pd.DataFrame:
-    """Counters as rows. Compounds are parted, and what is no word left out, here, once for each distinct token."""
-    words: Counter = Counter()
-    out = []
-    for raw, n in seen.items():
-        t = raw.decode("utf-8", "surrogatepass")
-        if "-" in t:
-            if _COMPOUND.fullmatch(t):
-                out.append(("c", t, n))
-            for part in t.split("-"):
-                words[part] += n
-        else:
-            words[t] += n
-    out += [("w", w, n) for w, n in words.items() if w and is_word(w)]
-    for kind, c in (("h", headers), ("b", bodies)):
-        out += [(kind, w, n) for w, n in c.items()]
-    return pd.DataFrame(out, columns=["kind", "word", "n"])
+def _occur(n: Counter, text: str) -> None:
+    for t in raw_tokens(text.lower()):
+        n.setdefault(t, 0)
+
+
+class _Counts:
+    """What a part of the corpus is counted for."""
+
+    def __init__(self):
+        self.seen: Counter = Counter()
+        self.edges = {"h": Counter(), "b": Counter()}
+        self.ends: set[tuple[str, str]] = set()
+        self.tops: set[str] = set()
+
+    def full(self) -> bool:
+        return len(self.seen) + len(self.ends) + len(self.tops) > 500_000
+
+    def rows(self) -> pd.DataFrame:
+        """Compounds are parted, and what is no word left out, here, once for each distinct token."""
+        words: Counter = Counter()
+        out = []
+        for raw, n in self.seen.items():
+            t = raw.decode("utf-8", "surrogatepass")
+            if "-" in t:
+                if _COMPOUND.fullmatch(t):
+                    out.append(("c", t, n))
+                for part in t.split("-"):
+                    words[part] += n
+            else:
+                words[t] += n
+        out += [("w", w, n) for w, n in words.items() if w and is_word(w)]
+        out += [(kind, w, n) for kind, c in self.edges.items() for w, n in c.items()]
+        out += [("e", f"{a} {b}", 0) for a, b in self.ends]
+        out += [("l", x, 0) for x in self.tops]
+        return pd.DataFrame(out, columns=["kind", "word", "n"])
 
 
 def _lexicon(counts: DataFrame) -> Lexicon:
-    """The commonest words, compounds and edge words: at most VOCABULARY of each reach the driver."""
-    got: dict[str, dict[str, int]] = {}
-    for kind in ("w", "c", "h", "b"):
-        rows = counts.where(F.col("kind") == kind).select("word", "n").orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
-        got[kind] = {r["word"]: r["n"] for r in rows}
-    h, b = got["h"], got["b"]
-    ph, pb = max(sum(h.values()), 1), max(sum(b.values()), 1)
-    odds = {w: math.log(h.get(w, 0) / ph + FLOOR) - math.log(b.get(w, 0) / pb + FLOOR) for w in {*h, *b}}
-    return Lexicon(got["w"], got["c"], odds)
+    """Words are compared with those of their skeleton, line ends and edge lines with their words, by aggregations and joins over all of them; only findings reach the driver."""
+    skeletons = F.pandas_udf(lambda s: s.map(skeleton), "string")
+    candidate = F.pandas_udf(lambda s: s.map(can_be_misread), "boolean")
+    alpha = F.pandas_udf(lambda s: s.map(str.isalpha), "boolean")
+    words = materialise(counts.where("kind = 'w'").select("word", "n", skeletons("word").alias("skeleton"), alpha("word").alias("alpha"), candidate("word").alias("candidate")), "scan-skeletons")
+    best = words.where("alpha").groupBy("skeleton").agg(F.max(F.struct("n", "word")).alias("best"))
+    rivals = words.join(best, "skeleton").where(f"candidate AND word <> best.word AND best.n > 0 AND best.n >= {RATIO} * n")
+    wrong = misread([tuple(r) for r in rivals.select("word", "n", "best.word", "best.n").toLocalIterator()])
+
+    # The commonest words that make up KNOWN of all sightings, by how many words are seen how often.
+    often = sorted(((r["n"], r["k"]) for r in words.where("n > 0").groupBy("n").agg(F.count("*").alias("k")).toLocalIterator()), reverse=True)
+    left, least = KNOWN * sum(n * k for n, k in often), 1
+    for n, k in often:
+        if left <= 0:
+            break
+        left, least = left - n * k, n
+    known = {r["word"] for r in words.where(F.col("n") >= least).select("word").toLocalIterator()}
+
+    right = lambda w: wrong.get(w, w)
+    spark = counts.sparkSession
+    shared = spark.sparkContext.broadcast(wrong)
+    righted = F.pandas_udf(lambda s: s.map(lambda w: shared.value.get(w, w)), "string")
+    a, b = F.split("word", " ")[0], F.split("word", " ")[1]
+    ends = counts.where("kind = 'e'").select(a.alias("a"), b.alias("b"))
+    ends = ends.select("a", "b", righted(F.concat("a", "b")).alias("joined"), F.concat_ws("-", righted("a"), righted("b")).alias("compound"))
+    ends = ends.join(words.select(F.col("word").alias("joined"), F.col("n").alias("whole")), "joined", "left")
+    ends = ends.join(counts.where("kind = 'c'").select(F.col("word").alias("compound"), F.col("n").alias("parts")), "compound", "left")
+    ends = ends.select("a", "b", F.coalesce("whole", F.lit(0)).alias("whole"), F.coalesce("parts", F.lit(0)).alias("parts")).where("whole > parts OR whole = 0 AND parts = 0")
+    # Seldom words: two words of their own make a compound, else it is one word.
+    splits = {(r["a"], r["b"]) for r in ends.toLocalIterator() if r["whole"] > r["parts"] or not (right(r["a"]) in known and right(r["b"]) in known)}
+
+    odds = counts.where("kind IN ('h', 'b')").groupBy("word").pivot("kind", ["h", "b"]).agg(F.sum("n")).na.fill(0)
+    total = counts.where("kind IN ('h', 'b')").groupBy("kind").agg(F.sum("n")).collect()
+    ph, pb = (max([r[1] for r in total if r[0] == kind] or [1]) for kind in "hb")
+    odds = odds.select("word", (F.log(F.col("h") / ph + FLOOR) - F.log(F.col("b") / pb + FLOOR)).alias("odds"))
+    tops = counts.where("kind = 'l'").select(F.col("word").alias("line"), F.explode(F.split("word", " ")).alias("word"))
+    headers = tops.join(odds, "word").groupBy("line").agg(F.sum("odds").alias("odds")).where("odds > 2").select("line")
+    return Lexicon(wrong, known, splits, {r["line"] for r in headers.toLocalIterator()})
 
 
 def _extraction_counts(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = [Counter() for _ in range(3)]
+        n = _Counts()
         for batch in batches:
             for t in batch["text"]:
                 pages = pages_of(t)
                 for p in pages:
-                    _count(n[0], p)
+                    _count(n.seen, n.ends, p)
+                    n.tops.update(k for x in p[:EDGE] if _can_be_header(x) and (k := line_skeleton(x)))
                 if len(pages) > 1:
                     tops = [line_skeleton(p[0]) if p and _can_be_header(p[0]) else "" for p in pages]
                     for k in tops:
                         if k:
-                            n[1 if tops.count(k) > 1 else 2].update(k.split())
-            if len(n[0]) > 500_000:
-                yield _rows(*n)
-                n = [Counter() for _ in range(3)]
-        yield _rows(*n)
+                            n.edges["h" if tops.count(k) > 1 else "b"].update(k.split())
+            if n.full():
+                yield n.rows()
+                n = _Counts()
+        yield n.rows()
 
     return texts.mapInPandas(run, "kind string, word string, n bigint")
 
@@ -306,19 +334,26 @@ def _ocr_pages(lines: DataFrame) -> DataFrame:
 
 def _ocr_counts(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = [Counter() for _ in range(3)]
+        n = _Counts()
         for batch in batches:
-            for text, before, top, skel, pages, several in zip(batch["text"], batch["before"], batch["top"], batch["skeleton"], batch["pages"], batch["several"]):
+            for text, before, after, top, skel, pages, several in zip(batch["text"], batch["before"], batch["after"], batch["top"], batch["skeleton"], batch["pages"], batch["several"]):
+                edge = top == 1 and isinstance(skel, str) and skel and _can_be_header(text)
                 if isinstance(before, str) and before.endswith(_BREAK):
+                    _occur(n.seen, text)
                     text = text.partition(" ")[2]
-                _count(n[0], [text])
-                if top == 1 and several and isinstance(skel, str) and _can_be_header(text):
-                    n[1 if pages > 1 else 2].update(skel.split())
-        yield _rows(*n)
+                _count(n.seen, n.ends, [text], after if isinstance(after, str) else None)
+                if edge:
+                    n.tops.add(skel)
+                    if several:
+                        n.edges["h" if pages > 1 else "b"].update(skel.split())
+            if n.full():
+                yield n.rows()
+                n = _Counts()
+        yield n.rows()
 
     # Documents of one page can't show what a running header is.
     several = rows.groupBy("doc_id", "engine").agg((F.max("page_no") > F.min("page_no")).alias("several"))
-    return rows.join(several, ["doc_id", "engine"]).select("text", "before", "top", "skeleton", "pages", "several").mapInPandas(run, "kind string, word string, n bigint")
+    return rows.join(several, ["doc_id", "engine"]).select("text", "before", "after", "top", "skeleton", "pages", "several").mapInPandas(run, "kind string, word string, n bigint")
 
 
 def _body_noise(lex: Lexicon, line: str, before: str | None, after: str | None) -> tuple[bool, bool]:

@@ -79,3 +79,11 @@ def test_a_corpus_repeated_ten_times_gives_the_same_rows(spark):
     once, ten = rows(1), rows(10)
     assert once == {("ocr_line", i, n) for i, n in wrong.items()}
     assert ten == {("ocr_line", 1000 * k + i, n) for k in range(10) for _, i, n in once}
+
+
+def test_words_beyond_the_commonest_count(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    many = " ".join("q" + "".join(letters[k // 26**i % 26] for i in range(4)) for k in range(200_010))
+    texts = [(1, "The intermediate shaft was turned."), (2, "The inter-\nmediate shaft was turned."), (3, many), (4, many), (5, "inter mediate " * 50)]
+    got = scan.scan_noise(spark.createDataFrame([(*t, "") for t in texts], EX), spark.createDataFrame([], LN)).collect()
+    assert ("extraction", 2, "hyphen") in {tuple(r) for r in got}
