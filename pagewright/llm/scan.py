@@ -1,7 +1,8 @@
 """Noise of scanned text: running headers and page numbers, words split across lines, misread characters.
 
-Method: lines at page edges that come again on other pages of their document are furniture, compared by a skeleton in
-which characters that recognisers confuse are the same; what such lines look like, by their words, also tells the
+Method: lines at either edge of a page that come again at that place on other pages of their document are furniture,
+compared by a skeleton in which characters that recognisers confuse are the same, unless more lines come again than
+furniture has, the text runs on through them or they stand inside pages too; what the topmost such lines look like, by their words, also tells the
 header of a document of one page. Page numbers are told by their form. Line ends are joined by the words of the corpus:
 a hyphen is dropped where the joined word is commoner than the compound. A word is misread if another of the same
 skeleton is far commoner; how far depends on whether the characters confused are confused in other words too, so that
@@ -20,7 +21,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.session import materialise
@@ -29,7 +30,7 @@ from pagewright.session import materialise
 RATIO, STEADY, KNOWN = 12, 45, 0.985
 #: What an edge word's rate is raised by, among header words and body words.
 FLOOR = 1e-3
-#: Lines from either end of a page that can be furniture, and their length.
+#: Lines from either end of a page that can be furniture, beside page numbers; the length of a header that is known by its words.
 EDGE, LONGEST = 2, 80
 
 #: Everything in ASCII but letters, digits and the two signs that stand for letters becomes a space; one table keeps hyphens.
@@ -299,11 +300,12 @@ def _extraction_counts(texts: DataFrame) -> DataFrame:
         for batch in batches:
             for t in batch["text"]:
                 pages = pages_of(t)
-                for p in pages:
+                firsts = [[p[i] for i, _ in edge_lines(p, False)] for p in pages]
+                for p, first in zip(pages, firsts):
                     _count(n.seen, n.ends, p)
-                    n.tops.update(k for x in p[:EDGE] if _can_be_header(x) and (k := line_skeleton(x)))
+                    n.tops.update(line_skeleton(x) for x in first[: EDGE if len(p) > 3 else 1] if _can_be_header(x))
                 if len(pages) > 1:
-                    tops = [line_skeleton(p[0]) if p and _can_be_header(p[0]) else "" for p in pages]
+                    tops = [line_skeleton(x[0]) if _can_be_header(x[0]) else "" for x in firsts if x]
                     for k in tops:
                         if k:
                             n.edges["h" if tops.count(k) > 1 else "b"].update(k.split())
@@ -315,45 +317,67 @@ def _extraction_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInPandas(run, "kind string, word string, n bigint")
 
 
+_PAGE_OF = ["doc_id", "engine", "page_no"]
+
+
 def _ocr_pages(lines: DataFrame) -> DataFrame:
-    """Distinct lines with the one after them on their page, their place from either end, and on how many pages of the document a line of their skeleton is at an edge.
+    """Pages with their distinct lines in order, whether their document has several pages, and which of their edge lines come again on others.
 
-    A page is one window; a document isn't, so its number of lines doesn't matter.
+    A page is one row; a document isn't, so its number of lines doesn't matter.
     """
-    rows = lines.select("line_id", "doc_id", "engine", "page_no", "idx", F.trim("text").alias("text")).where("text IS NOT NULL AND trim(text) <> ''").dropDuplicates(["line_id"])
-    page = Window.partitionBy("doc_id", "engine", "page_no")
-    by = page.orderBy("idx", "line_id")
-    rows = rows.withColumns({"after": F.lead("text").over(by), "before": F.lag("text").over(by), "top": F.row_number().over(by), "bottom": F.row_number().over(page.orderBy(F.desc("idx"), F.desc("line_id")))})
-    key = F.pandas_udf(lambda s: s.map(line_skeleton), "string")
-    rows = materialise(rows, "scan-lines")
-    edge = rows.where((F.col("top") <= EDGE) | (F.col("bottom") <= EDGE)).where(F.length("text") <= LONGEST).select("line_id", "doc_id", "engine", "page_no", key("text").alias("skeleton"))
-    pages = edge.groupBy("doc_id", "engine", "skeleton").agg(F.count_distinct("page_no").alias("pages"))
-    marked = edge.join(pages, ["doc_id", "engine", "skeleton"]).select("line_id", "skeleton", "pages")
-    return rows.join(marked, "line_id", "left")
+    rows = lines.select(*_PAGE_OF, "idx", "line_id", F.trim("text").alias("text")).where("text IS NOT NULL AND trim(text) <> ''")
+    pages = materialise(rows.groupBy(*_PAGE_OF).agg(F.array_sort(F.collect_set(F.struct("idx", "line_id", "text"))).alias("items")), "scan-lines")
+    kinds = dict(pages.dtypes)
+    schema = ", ".join(f"{c} {kinds[c]}" for c in _PAGE_OF)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for *page, items in zip(*(batch[c] for c in _PAGE_OF), batch["items"]):
+                texts = _distinct(items)[1]
+                if len(texts) > 1:
+                    out += [(*page, side, d, k, on) for side in (0, 1) for d, (i, on) in enumerate(edge_lines(texts, bool(side))) for k in [edge_key(texts[i])]]
+            yield pd.DataFrame(out, columns=[*_PAGE_OF, "side", "depth", "key", "on"])
+
+    edges = pages.mapInPandas(run, schema + ", side int, depth int, key string, on boolean").withColumn("key", F.xxhash64("key"))
+    edges = materialise(edges, "scan-edges")
+    place = ["doc_id", "engine", "side", "depth", "key"]
+    again = edges.groupBy(*place).agg(F.count_distinct("page_no").alias("pages"), F.min("on").alias("through")).where("pages > 1").drop("pages")
+    marks = edges.join(again, place).groupBy(*_PAGE_OF).agg(F.collect_list(F.struct("side", "depth", "through")).alias("marks"))
+    # Documents of one page can't show what a running header is.
+    several = pages.groupBy("doc_id", "engine").agg((F.max("page_no") > F.min("page_no")).alias("several")).where("several")
+    return pages.join(pages.select(*_PAGE_OF).join(several, ["doc_id", "engine"]).join(marks, _PAGE_OF, "left"), _PAGE_OF, "left")
+
+
+def _distinct(items: list) -> tuple[list, list[str]]:
+    """The ids and texts of a page's lines, each id once."""
+    lines = {}
+    for i in items:
+        lines.setdefault(i["line_id"], i["text"])
+    return list(lines), list(lines.values())
+
+
+def _marks(marks: list | None) -> dict[tuple[int, int], bool]:
+    return {} if marks is None else {(m["side"], m["depth"]): m["through"] for m in marks}
 
 
 def _ocr_counts(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n = _Counts()
         for batch in batches:
-            for text, before, after, top, skel, pages, several in zip(batch["text"], batch["before"], batch["after"], batch["top"], batch["skeleton"], batch["pages"], batch["several"]):
-                edge = top == 1 and isinstance(skel, str) and skel and _can_be_header(text)
-                if isinstance(before, str) and before.endswith(_BREAK):
-                    _occur(n.seen, text)
-                    text = text.partition(" ")[2]
-                _count(n.seen, n.ends, [text], after if isinstance(after, str) else None)
-                if edge:
-                    n.tops.add(skel)
-                    if several:
-                        n.edges["h" if pages > 1 else "b"].update(skel.split())
+            for items, several, marks in zip(batch["items"], batch["several"], batch["marks"]):
+                texts = _distinct(items)[1]
+                _count(n.seen, n.ends, texts)
+                first = [texts[i] for i, _ in edge_lines(texts, False)]
+                n.tops.update(line_skeleton(x) for x in first[: EDGE if len(texts) > 3 else 1] if _can_be_header(x))
+                if several is True and first and _can_be_header(first[0]):
+                    n.edges["h" if (0, 0) in _marks(marks) else "b"].update(line_skeleton(first[0]).split())
             if n.full():
                 yield n.rows()
                 n = _Counts()
         yield n.rows()
 
-    # Documents of one page can't show what a running header is.
-    several = rows.groupBy("doc_id", "engine").agg((F.max("page_no") > F.min("page_no")).alias("several"))
-    return rows.join(several, ["doc_id", "engine"]).select("text", "before", "after", "top", "skeleton", "pages", "several").mapInPandas(run, "kind string, word string, n bigint")
+    return rows.select("items", "several", "marks").mapInPandas(run, "kind string, word string, n bigint")
 
 
 def _body_noise(lex: Lexicon, line: str, before: str | None, after: str | None) -> tuple[bool, bool]:
@@ -401,26 +425,78 @@ def _text_noise(lex: Lexicon, body: list[str]) -> set[str]:
     return found
 
 
-def _furniture(pages: list[list[str]], lex: Lexicon) -> list[set[int]]:
-    """The places of the furniture on each page of an extraction."""
-    tops = [line_skeleton(p[0]) if p and _can_be_header(p[0]) else "" for p in pages]
+def _is_number_at(page: list[str], k: int, i: int) -> bool:
+    """Whether the line at place i, the k-th from its edge, is a page number there."""
+    return k < EDGE and len(page) > (1 if k == 0 else 3) and len(page[i]) <= LONGEST and is_page_number(page[i])
+
+
+def edge_lines(page: list[str], bottom: bool) -> list[tuple[int, bool]]:
+    """(place, whether the text runs on through it) of the lines from an edge on that aren't page numbers: one more than can be furniture."""
     out = []
-    for p, top in zip(pages, tops):
-        found = set()
-        if len(p) > 1 and is_page_number(p[0]) or top and (tops.count(top) > 1 or lex.is_header(p[0])):
-            found.add(0)
-        if len(p) > 1 and is_page_number(p[-1]):
-            found.add(len(p) - 1)
-        # Furniture may stand in two lines.
-        if found and len(p) > 3:
-            if 0 in found and lex.is_header(p[1]):
-                found.add(1)
-            if len(p) - 1 in found and is_page_number(p[-2]):
-                found.add(len(p) - 2)
-        out.append(found)
+    n = len(page)
+    for k in range(min(n, 2 * EDGE + 1)):
+        i = n - 1 - k if bottom else k
+        if len(out) > EDGE:
+            break
+        if _is_number_at(page, k, i):
+            continue
+        line = page[i]
+        if bottom:
+            on = i > 0 and (line[:1].islower() and not page[i - 1].endswith((".", "!", "?", ":")) or line[:1] == page[i - 1][:1] == "|")
+        else:
+            on = i + 1 < n and (page[i + 1][:1].islower() or line[:1] == page[i + 1][:1] == "|")
+        out.append((i, on))
     return out
 
 
+def edge_key(line: str) -> str:
+    """What furniture is compared by. Numbers and codes are all the same in a skeleton: without words, lines must agree themselves."""
+    return line_skeleton(line) if sum(c.isalpha() for c in line) >= 3 else line
+
+
+def _odd(page: list[str], marks: dict[tuple[int, int], bool], lex: Lexicon) -> set[int]:
+    """The places of the furniture on a page. marks: for each (0 top or 1 bottom, depth) that comes again on other pages, whether the text runs on through it on all of them."""
+    found: set[int] = set()
+    for side in (0, 1) if len(page) > 1 else (0,):
+        depths = {i: d for d, (i, _) in enumerate(edge_lines(page, bool(side)))}
+        # If more comes again than furniture has, the text itself is repeated.
+        text = all((side, d) in marks for d in range(EDGE + 1))
+        for k in range(min(len(page), 2 * EDGE)):
+            i = len(page) - 1 - k if side else k
+            d = depths.get(i)
+            if d is None:
+                if not _is_number_at(page, k, i):
+                    break
+            elif d >= EDGE:
+                break
+            else:
+                first = side == 0 and d == 0 and _can_be_header(page[i])
+                again = (side, d) in marks and (first or len(page) > 1 and not text and not marks[side, d] and [edge_key(x) for x in page].count(edge_key(page[i])) == 1)
+                if not again and not (side == 0 and (d == 0 or len(page) > 3) and lex.is_header(page[i])):
+                    break
+            found.add(i)
+    return found
+
+
+def _furniture(pages: list[list[str]], lex: Lexicon) -> list[set[int]]:
+    """The places of the furniture on each page of an extraction."""
+    if len(pages) == 1:
+        return [_odd(pages[0], {}, lex)]
+    edges = [[(side, d, edge_key(p[i]), on) for side in (0, 1) for d, (i, on) in enumerate(edge_lines(p, bool(side)))] for p in pages]
+    through: dict[tuple, list[bool]] = {}
+    for e in edges:
+        for *place, on in e:
+            through.setdefault(tuple(place), []).append(on)
+    # What also stands inside pages is body text that comes again, as is what the text runs on through.
+    headers = {e[0][2] for p, e in zip(pages, edges) if e and e[0][:2] == (0, 0) and _can_be_header(p[edge_lines(p, False)[0][0]])}
+    again = {k for (side, d, k), t in through.items() if len(t) > 1 and not all(t) and not (side == d == 0 and k in headers)}
+    lines = Counter(k for p in pages for x in p if (k := edge_key(x)) in again) if again else {}
+    for (_, _, k), t in through.items():
+        if lines.get(k, 0) > len(t) > 1:
+            t[:] = [True] * len(t)
+    return [_odd(p, {(side, d): all(t) for side, d, k, _ in e if len(t := through.get((side, d, k), ())) > 1}, lex) for p, e in zip(pages, edges)]
+
+
 def scan_noise(extractions: DataFrame, lines: DataFrame) -> DataFrame:
     """(record_kind, record_id, noise) of extractions(doc_id, text) and lines(line_id, doc_id, engine, page_no, idx, text); further columns don't matter.
 
@@ -430,7 +506,7 @@ def scan_noise(extractions: DataFrame, lines: DataFrame) -> DataFrame:
     """
     spark = extractions.sparkSession
     texts = extractions.select("doc_id", "text").where("text IS NOT NULL")
-    rows = materialise(_ocr_pages(lines), "scan-edges")
+    rows = materialise(_ocr_pages(lines), "scan-pages")
     counts = materialise(_extraction_counts(texts).unionAll(_ocr_counts(rows)).groupBy("kind", "word").agg(F.sum("n").alias("n")), "scan-words")
     shared = spark.sparkContext.broadcast(_lexicon(counts))
     schema = "record_kind string, record_id bigint, noise string"
@@ -454,23 +530,21 @@ def scan_noise(extractions: DataFrame, lines: DataFrame) -> DataFrame:
         lex = shared.value
         for b in batches:
             out = []
-            text_of = lambda v: v if isinstance(v, str) else None
-            for key, text, before, after, top, bottom, pages in zip(b["line_id"], b["text"], b["before"], b["after"], b["top"], b["bottom"], b["pages"]):
-                if (top == 1) != (bottom == 1):  # a line alone on its page is its body
-                    if is_page_number(text) or top == 1 and _can_be_header(text) and (pages > 1 or lex.is_header(text)):
-                        out.append(("ocr_line", key, "furniture"))
-                        continue
-                after = text_of(after)
-                # What follows the last body line is a page number, not the rest of its word.
-                split, misread = _body_noise(lex, text, text_of(before), None if after and text.endswith(_BREAK) and is_page_number(after) else after)
-                if split:
-                    out.append(("ocr_line", key, "hyphen"))
-                if misread:
-                    out.append(("ocr_line", key, "misread"))
+            for items, marks in zip(b["items"], b["marks"]):
+                keys, page = _distinct(items)
+                odd = _odd(page, _marks(marks), lex) if len(page) > 1 else set()  # a line alone on its page is its body
+                out += [("ocr_line", keys[i], "furniture") for i in odd]
+                places = [i for i in range(len(page)) if i not in odd]
+                for before, i, after in zip([None, *places[:-1]], places, [*places[1:], None]):
+                    split, misread = _body_noise(lex, page[i], None if before is None else page[before], None if after is None else page[after])
+                    if split:
+                        out.append(("ocr_line", keys[i], "hyphen"))
+                    if misread:
+                        out.append(("ocr_line", keys[i], "misread"))
             yield pd.DataFrame(out, columns=["record_kind", "record_id", "noise"])
 
     a = texts.mapInPandas(whole, schema)
-    b = rows.select("line_id", "text", "before", "after", "top", "bottom", "pages").mapInPandas(single, schema)
+    b = rows.select("items", "marks").mapInPandas(single, schema)
     return a.unionAll(b).distinct()
 
 def _repaired(lex: Lexicon, line: str) -> str:
@@ -523,7 +597,7 @@ def repaired_pages(extractions: DataFrame, lines: DataFrame) -> DataFrame:
     """
     spark = extractions.sparkSession
     texts = extractions.select("doc_id", "text").where("text IS NOT NULL").distinct()
-    rows = materialise(_ocr_pages(lines), "repair-edges")
+    rows = materialise(_ocr_pages(lines), "repair-pages")
     counts = materialise(_extraction_counts(texts.select("text")).unionAll(_ocr_counts(rows)).groupBy("kind", "word").agg(F.sum("n").alias("n")), "repair-words")
     shared = spark.sparkContext.broadcast(_lexicon(counts))
     schema = "record_kind string, record_id bigint, engine string, page int, text string"
@@ -544,15 +618,13 @@ def repaired_pages(extractions: DataFrame, lines: DataFrame) -> DataFrame:
         lex = shared.value
         for b in batches:
             out = []
-            for doc, engine, page, items in zip(b["doc_id"], b["engine"], b["page_no"], b["items"]):
-                items = [(i["text"], i["pages"]) for i in items]
-                last = len(items) - 1
-                body = [t for i, (t, n) in enumerate(items) if not last or not (i in (0, last) and is_page_number(t) or i == 0 and _can_be_header(t) and ((n or 0) > 1 or lex.is_header(t)))]
+            for doc, engine, page, items, marks in zip(b["doc_id"], b["engine"], b["page_no"], b["items"], b["marks"]):
+                texts = _distinct(items)[1]
+                odd = _odd(texts, _marks(marks), lex) if len(texts) > 1 else set()
+                body = [x for i, x in enumerate(texts) if i not in odd]
                 text = _paragraphs(lex, body)
                 if text:
                     out.append(("ocr_page", doc, engine, page, text))
             yield pd.DataFrame(out, columns=["record_kind", "record_id", "engine", "page", "text"]).astype({"page": "Int32"})
 
-    items = F.array_sort(F.collect_list(F.struct("idx", "line_id", "text", "pages")))
-    grouped = rows.groupBy("doc_id", "engine", "page_no").agg(items.alias("items"))
-    return texts.mapInPandas(whole, schema).unionAll(grouped.mapInPandas(single, schema))
+    return texts.mapInPandas(whole, schema).unionAll(rows.mapInPandas(single, schema))

@@ -87,3 +87,12 @@ def test_words_beyond_the_commonest_count(spark):
     texts = [(1, "The intermediate shaft was turned."), (2, "The inter-\nmediate shaft was turned."), (3, many), (4, many), (5, "inter mediate " * 50)]
     got = scan.scan_noise(spark.createDataFrame([(*t, "") for t in texts], EX), spark.createDataFrame([], LN)).collect()
     assert ("extraction", 2, "hyphen") in {tuple(r) for r in got}
+
+
+def test_repeated_lines_at_both_edges(spark):
+    bodies = [BODY, [*BODY[1:], "Each bolt was held."], ["Every hose was checked.", BODY[3], *BODY[:2]]]
+    foot = "Property of Northgate Works; do not copy, pass on or keep after the date that is printed on the cover."
+    ex = [(1, "".join(page(k, *b, foot) for k, b in enumerate(bodies, 1)))]
+    lines = [(100 * k + i, 5, "tesseract", k, i, t) for k, b in enumerate(bodies, 1) for i, t in enumerate([f"{k}", "Pump | Notes.", *b, foot])]
+    got = {g for g in noise(spark, ex, lines) if g[2] == "furniture"}
+    assert got == {("extraction", 1, "furniture"), *(("ocr_line", 100 * k + i, "furniture") for k, b in enumerate(bodies, 1) for i in (0, 1, len(b) + 2))}
