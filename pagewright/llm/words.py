@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 import zstandard
 
 #: Maximal runs of letters and digits, and of letters alone.
@@ -54,46 +53,95 @@ def word_bytes(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_SPACED).split()
 
 
+#: Bytes of text that are hashed at a time, so that the arrays stay in the processor's caches; texts at a time, whose numbers fit beside a hash.
+_CHUNK, _OWNERS = 1 << 18, 60_000
+#: A number for each byte, and by its place in the word a factor; a word's hash is the sum of their products.
+_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_FACTOR = np.uint64(0xD6E8FEB86659FD93)
+_factors = np.ones(1, np.uint64)
+
+
+def _places(n: int) -> np.ndarray:
+    """Powers of the factor for the first n places at least."""
+    global _factors
+    if n > len(_factors):
+        with np.errstate(over="ignore"):
+            _factors = np.cumprod(np.r_[np.uint64(1), np.full(2 * n, _FACTOR)])
+    return _factors
+
+
+def _chunks(texts: Iterable[str]) -> Iterator[tuple[int, list[bytes]]]:
+    """Texts in lower case and UTF-8, a chunk of them at a time, with the number of the first."""
+    first, held, size = 0, [], 0
+    for t in texts:
+        t = t.lower()
+        if not t.isascii():
+            t = _OTHER.sub(" ", t)
+        held.append(t.encode("utf-8", "surrogatepass"))
+        size += len(held[-1]) + 1
+        if size >= _CHUNK or len(held) >= _OWNERS:
+            yield first, held
+            first, held, size = first + len(held), [], 0
+    if held:
+        yield first, held
+
+
+def _hash_chunk(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the part, 64-bit hash) of each word, without a Python object for any word."""
+    a = np.frombuffer((b" " + b" ".join(parts) + b" ").translate(_SPACED), np.uint8)
+    inside = a != 32
+    edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    start, size = edge[::2], edge[1::2] - edge[::2]
+    if not len(start):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    first = np.cumsum(size) - size
+    place = np.arange(int(first[-1] + size[-1])) - np.repeat(first, size)
+    with np.errstate(over="ignore"):
+        h = np.add.reduceat(_BYTE[a[inside]] * _places(int(size.max()))[place], first)
+    ends = 1 + np.cumsum(np.array([len(p) + 1 for p in parts]))  # where each part's following blank ends
+    return np.searchsorted(ends, start, side="right"), mix(h)
+
+
 def hashed(texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
     """(text number, 64-bit hash) of each word."""
-    found: list[bytes] = []
-    counts = []
-    for t in texts:
-        w = word_bytes(t)
-        counts.append(len(w))
-        found += w
-    if not found:
+    out = [(first + own, h) for first, parts in _chunks(texts) for own, h in [_hash_chunk(parts)]]
+    if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    codes, distinct = pd.factorize(np.array(found, dtype=object))
-    return np.repeat(np.arange(len(counts)), counts), np.array([xxhash.xxh64_intdigest(w) for w in distinct], dtype=np.uint64)[codes]
+    return np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out])
 
 
-def by_owner(owner: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """The order by owner, then value; for owners below 65536 faster than a sort by two keys."""
-    first = np.argsort(value)
-    own = owner[first]
-    return first[np.argsort(own.astype(np.uint16) if not len(own) or own.max() < 65536 else own, kind="stable")]
+#: Bits of the hash of a run of words.
+RUN_BITS = 48
 
 
-def shingle_sets(texts: Iterable[str], size: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, 64-bit hash) of the distinct runs of `size` words, sorted; texts of fewer than `least` words have none."""
-    owner, h = hashed(texts)
-    n = np.bincount(owner, minlength=int(owner[-1]) + 1 if len(owner) else 0)
+def runs_of(h: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit hash of each `size` successive words, whatever text they belong to."""
     last = len(h) - size + 1
-    if last <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     run = h[:last].copy()
     with np.errstate(over="ignore"):
         for k in range(1, size):
             run = ((run << np.uint64(21)) | (run >> np.uint64(43))) * _M1 + h[k : k + last]
-    run = mix(run)
-    ok = (owner[:last] == owner[size - 1 :]) & (n[owner[:last]] >= max(least, size))
-    t, h = owner[:last][ok], run[ok]
-    order = by_owner(t, h)
-    t, h = t[order], h[order]
-    new = np.ones(len(t), bool)
-    new[1:] = (t[1:] != t[:-1]) | (h[1:] != h[:-1])
-    return t[new], h[new]
+    return mix(run)
+
+
+def shingle_sets(texts: Iterable[str], size: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, hash of RUN_BITS bits) of the distinct runs of `size` words, sorted; texts of fewer than `least` words have none."""
+    out = []
+    for base, parts in _chunks(texts):
+        owner, h = _hash_chunk(parts)
+        last = len(h) - size + 1
+        if last <= 0:
+            continue
+        n = np.bincount(owner, minlength=len(parts))
+        ok = (owner[:last] == owner[size - 1 :]) & (n[owner[:last]] >= max(least, size))
+        # The text's number stands before the hash, so that one sort of numbers does.
+        both = (owner[:last][ok].astype(np.uint64) << np.uint64(RUN_BITS)) | (runs_of(h, size)[ok] >> np.uint64(64 - RUN_BITS))
+        both.sort()
+        both = both[np.r_[True, both[1:] != both[:-1]]] if len(both) else both
+        out.append((base + (both >> np.uint64(RUN_BITS)).astype(np.int64), both & np.uint64((1 << RUN_BITS) - 1)))
+    if not out:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    return np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out])
 
 
 _ZIP = zstandard.ZstdCompressor(level=1)
