@@ -32,6 +32,8 @@ RATIO, STEADY, KNOWN = 12, 45, 0.985
 FLOOR = 1e-3
 #: Lines from either end of a page that can be furniture, beside page numbers; the length of a header that is known by its words.
 EDGE, LONGEST = 2, 80
+#: Characters of an edge line's skeleton from which one edit may part it from the same line on another page.
+NEAR = 8
 
 #: Everything in ASCII but letters, digits and the two signs that stand for letters becomes a space; one table keeps hyphens.
 _APART = bytes(i if i >= 128 or chr(i).isalnum() or chr(i) in "@|" else 32 for i in range(256))
@@ -44,6 +46,8 @@ _NUMBER = re.compile(r"^(?:(?:page|seite|página|pagina|p\.|s\.|pág\.|pag\.)\s*
 _WITH_NUMBER = re.compile(r"(?:\s{2,}|\t)[-–—(\[]?\s*(?:\d{1,5}|[ivxlc]{1,7})\s*[-–—)\]]?$")
 _ROMAN = re.compile(r"^(?=[ivxlc])(?:x[cl]|l?x{0,3})(?:i[xv]|v?i{0,3})$", re.I)
 _BREAK = ("-", "­", "¬")
+_THREE_LETTERS = re.compile(r"(?:[^\W\d_].*?){3}", re.S)
+_NO_HEADER = re.compile(r"[|;\t]")
 
 # Characters and sequences that recognisers confuse; after them, all spellings of a word look the same.
 _SAME = str.maketrans({"0": "o", "1": "l", "|": "l", "i": "l", "!": "l", "5": "s", "@": "a", "9": "g", "e": "c", "t": "f", "v": "u", "b": "h", "8": "h", "2": "z", "6": "g"})
@@ -129,7 +133,7 @@ def pages_of(text: str) -> list[list[str]]:
 
 def _can_be_header(line: str) -> bool:
     line = _WITH_NUMBER.sub("", line)
-    return len(line) <= LONGEST and not line.endswith((".", ",", ";", *_BREAK)) and not set("|;\t") & set(line) and sum(c.isalpha() for c in line) >= 3
+    return len(line) <= LONGEST and not line.endswith((".", ",", ";", *_BREAK)) and not _NO_HEADER.search(line) and bool(_THREE_LETTERS.search(line))
 
 
 def is_word(token: str) -> bool:
@@ -339,11 +343,19 @@ def _ocr_pages(lines: DataFrame) -> DataFrame:
                     out += [(*page, side, d, k, on) for side in (0, 1) for d, (i, on) in enumerate(edge_lines(texts, bool(side))) for k in [edge_key(texts[i])]]
             yield pd.DataFrame(out, columns=[*_PAGE_OF, "side", "depth", "key", "on"])
 
-    edges = pages.mapInPandas(run, schema + ", side int, depth int, key string, on boolean").withColumn("key", F.xxhash64("key"))
-    edges = materialise(edges, "scan-edges")
-    place = ["doc_id", "engine", "side", "depth", "key"]
-    again = edges.groupBy(*place).agg(F.count_distinct("page_no").alias("pages"), F.min("on").alias("through")).where("pages > 1").drop("pages")
-    marks = edges.join(again, place).groupBy(*_PAGE_OF).agg(F.collect_list(F.struct("side", "depth", "through")).alias("marks"))
+    edges = materialise(pages.mapInPandas(run, schema + ", side int, depth int, key string, on boolean"), "scan-edges")
+    place = ["doc_id", "engine", "side", "depth"]
+    # A line is also taken for the commonest of the lines that agree with it in one half, if one edit parts them.
+    keys = edges.groupBy(*place, "key").agg(F.count("*").alias("pages"))
+    words = F.split("key", " ")
+    at = F.ceil(F.size(words) / 2).cast("int")
+    half = F.array(F.concat(F.lit("a"), F.array_join(F.slice(words, F.lit(1), at), " ")), F.concat(F.lit("b"), F.array_join(F.slice(words, at + 1, F.size(words)), " ")))
+    parts = keys.where((F.size(words) > 1) & (F.length("key") >= NEAR)).select(*place, "key", "pages", F.explode(half).alias("half"))
+    best = parts.groupBy(*place, "half").agg(F.max(F.struct("pages", "key")).alias("best")).select(*place, "half", F.col("best.key").alias("other"))
+    near = parts.join(best, [*place, "half"]).where((F.col("key") != F.col("other")) & (F.levenshtein("key", "other", 1) == 1)).select(*place, "key", "other").distinct()
+    named = materialise(edges.unionByName(edges.join(near, [*place, "key"]).drop("key").withColumnRenamed("other", "key")), "scan-named")
+    again = named.groupBy(*place, "key").agg(F.count_distinct("page_no").alias("pages"), F.min("on").alias("through")).where("pages > 1").drop("pages")
+    marks = named.join(again, [*place, "key"]).groupBy(*_PAGE_OF).agg(F.collect_list(F.struct("side", "depth", "through")).alias("marks"))
     # Documents of one page can't show what a running header is.
     several = pages.groupBy("doc_id", "engine").agg((F.max("page_no") > F.min("page_no")).alias("several")).where("several")
     return pages.join(pages.select(*_PAGE_OF).join(several, ["doc_id", "engine"]).join(marks, _PAGE_OF, "left"), _PAGE_OF, "left")
@@ -358,7 +370,11 @@ def _distinct(items: list) -> tuple[list, list[str]]:
 
 
 def _marks(marks: list | None) -> dict[tuple[int, int], bool]:
-    return {} if marks is None else {(m["side"], m["depth"]): m["through"] for m in marks}
+    out: dict[tuple[int, int], bool] = {}
+    for m in [] if marks is None else marks:
+        place = m["side"], m["depth"]
+        out[place] = out.get(place, True) and bool(m["through"])
+    return out
 
 
 def _ocr_counts(rows: DataFrame) -> DataFrame:
@@ -380,12 +396,12 @@ def _ocr_counts(rows: DataFrame) -> DataFrame:
     return rows.select("items", "several", "marks").mapInPandas(run, "kind string, word string, n bigint")
 
 
-def _body_noise(lex: Lexicon, line: str, before: str | None, after: str | None) -> tuple[bool, bool]:
-    """(ends in a split word, has a misread word) of a line of body text."""
+def _body_noise(lex: Lexicon, line: str, before: str | None, after: str | None, doubtful: set[str]) -> tuple[bool, bool]:
+    """(ends in a split word, has a misread word) of a line of body text. doubtful: the misread words of its page."""
     split = lex.is_split(line, after)
     if line.startswith("|") and line.endswith("|") and len(line) > 1:
         return split, False
-    bad = lex.doubtful(line)
+    bad = {t for t in doubtful if t in line}
     tail = before is not None and before.endswith(_BREAK)
     if not bad and not tail and not line.endswith(_BREAK):
         return split, False
@@ -411,11 +427,12 @@ def _body_noise(lex: Lexicon, line: str, before: str | None, after: str | None)
 def _text_noise(lex: Lexicon, body: list[str]) -> set[str]:
     """The noises of a page's body; lines are only looked at one by one where there is something to find."""
     broken = any(x.endswith(_BREAK) for x in body)
-    if not broken and not lex.doubtful("\n".join(body)):
+    doubtful = lex.doubtful("\n".join(body))
+    if not broken and not doubtful:
         return set()
     found = set()
     for before, x, after in zip([None, *body[:-1]], body, [*body[1:], None]):
-        split, misread = _body_noise(lex, x, before, after)
+        split, misread = _body_noise(lex, x, before, after, doubtful)
         if split:
             found.add("hyphen")
         if misread:
@@ -451,7 +468,40 @@ def edge_lines(page: list[str], bottom: bool) -> list[tuple[int, bool]]:
 
 def edge_key(line: str) -> str:
     """What furniture is compared by. Numbers and codes are all the same in a skeleton: without words, lines must agree themselves."""
-    return line_skeleton(line) if sum(c.isalpha() for c in line) >= 3 else line
+    return line_skeleton(line) if _THREE_LETTERS.search(line) else line
+
+
+def halves(key: str) -> list[str]:
+    """The first and the last words of a key: where a single edit parts two keys, they still agree in one of these."""
+    words = key.split(" ")
+    if len(words) < 2 or len(key) < NEAR:
+        return []
+    at = (len(words) + 1) // 2
+    return ["a" + " ".join(words[:at]), "b" + " ".join(words[at:])]
+
+
+def one_edit(a: str, b: str) -> bool:
+    """Whether one character was added, lost or replaced."""
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    if len(a) > len(b):
+        a, b = b, a
+    k = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    return a[k:] == b[k + 1 :] or len(a) == len(b) and a[k + 1 :] == b[k + 1 :]
+
+
+def near_keys(counts: Counter) -> dict[str, set[str]]:
+    """For each key the keys one edit away from it, of those that are the commonest of the keys with the same half."""
+    best: dict[str, tuple[int, str]] = {}
+    for k, n in counts.items():
+        for h in halves(k):
+            best[h] = max(best.get(h, (0, "")), (n, k))
+    out: dict[str, set[str]] = {}
+    for k in counts:
+        near = {best[h][1] for h in halves(k) if one_edit(k, best[h][1])}
+        if near:
+            out[k] = near
+    return out
 
 
 def _odd(page: list[str], marks: dict[tuple[int, int], bool], lex: Lexicon) -> set[int]:
@@ -484,9 +534,16 @@ def _furniture(pages: list[list[str]], lex: Lexicon) -> list[set[int]]:
         return [_odd(pages[0], {}, lex)]
     edges = [[(side, d, edge_key(p[i]), on) for side in (0, 1) for d, (i, on) in enumerate(edge_lines(p, bool(side)))] for p in pages]
     through: dict[tuple, list[bool]] = {}
+    counts: dict[tuple, Counter] = {}
     for e in edges:
-        for *place, on in e:
-            through.setdefault(tuple(place), []).append(on)
+        for side, d, k, on in e:
+            through.setdefault((side, d, k), []).append(on)
+            counts.setdefault((side, d), Counter())[k] += 1
+    near: dict[tuple, set[str]] = {(*place, k): others for place, c in counts.items() for k, others in near_keys(c).items()}
+    own = dict(through)
+    for (side, d, k), others in near.items():
+        for other in others:
+            through[side, d, other] = through[side, d, other] + own[side, d, k]
     # What also stands inside pages is body text that comes again, as is what the text runs on through.
     headers = {e[0][2] for p, e in zip(pages, edges) if e and e[0][:2] == (0, 0) and _can_be_header(p[edge_lines(p, False)[0][0]])}
     again = {k for (side, d, k), t in through.items() if len(t) > 1 and not all(t) and not (side == d == 0 and k in headers)}
@@ -494,7 +551,16 @@ def _furniture(pages: list[list[str]], lex: Lexicon) -> list[set[int]]:
     for (_, _, k), t in through.items():
         if lines.get(k, 0) > len(t) > 1:
             t[:] = [True] * len(t)
-    return [_odd(p, {(side, d): all(t) for side, d, k, _ in e if len(t := through.get((side, d, k), ())) > 1}, lex) for p, e in zip(pages, edges)]
+
+    def marks(e: list) -> dict[tuple[int, int], bool]:
+        found = {}
+        for side, d, k, _ in e:
+            seen = [t for x in {k, *near.get((side, d, k), ())} if len(t := through.get((side, d, x), ())) > 1]
+            if seen:
+                found[side, d] = all(all(t) for t in seen)
+        return found
+
+    return [_odd(p, marks(e), lex) for p, e in zip(pages, edges)]
 
 
 def scan_noise(extractions: DataFrame, lines: DataFrame) -> DataFrame:
@@ -535,8 +601,11 @@ def scan_noise(extractions: DataFrame, lines: DataFrame) -> DataFrame:
                 odd = _odd(page, _marks(marks), lex) if len(page) > 1 else set()  # a line alone on its page is its body
                 out += [("ocr_line", keys[i], "furniture") for i in odd]
                 places = [i for i in range(len(page)) if i not in odd]
+                doubtful = lex.doubtful("\n".join(page))
+                if not doubtful and not any(x.endswith(_BREAK) for x in page):
+                    continue
                 for before, i, after in zip([None, *places[:-1]], places, [*places[1:], None]):
-                    split, misread = _body_noise(lex, page[i], None if before is None else page[before], None if after is None else page[after])
+                    split, misread = _body_noise(lex, page[i], None if before is None else page[before], None if after is None else page[after], doubtful)
                     if split:
                         out.append(("ocr_line", keys[i], "hyphen"))
                     if misread:

@@ -96,3 +96,17 @@ def test_repeated_lines_at_both_edges(spark):
     lines = [(100 * k + i, 5, "tesseract", k, i, t) for k, b in enumerate(bodies, 1) for i, t in enumerate([f"{k}", "Pump | Notes.", *b, foot])]
     got = {g for g in noise(spark, ex, lines) if g[2] == "furniture"}
     assert got == {("extraction", 1, "furniture"), *(("ocr_line", 100 * k + i, "furniture") for k, b in enumerate(bodies, 1) for i in (0, 1, len(b) + 2))}
+
+
+def test_edge_lines_that_one_edit_parts(spark):
+    bodies = [BODY, [*BODY[1:], "Each bolt was held."], ["Every hose was checked.", BODY[3], *BODY[:2]]]
+    feet = ["Acme Pump Handbook Confidential", "Acme Pup Handbook Confidential", "Acme Pump Handbook Confidentials"]
+    ex = [(1, "".join(page(k, *b, f) for k, (b, f) in enumerate(zip(bodies, feet), 1))), (2, "".join(page(k, f, *b) for k, (b, f) in enumerate(zip(bodies, feet), 1)))]
+    lines = [(100 * k + i, 5, "tesseract", k, i, t) for k, (b, f) in enumerate(zip(bodies, feet), 1) for i, t in enumerate([f"{k}", *b, f])]
+    got = {g for g in noise(spark, ex, lines) if g[2] == "furniture"}
+    assert got == {("extraction", 1, "furniture"), ("extraction", 2, "furniture"), *(("ocr_line", 100 * k + i, "furniture") for k, b in enumerate(bodies, 1) for i in (0, len(b) + 1))}
+
+
+def test_one_edit():
+    assert all(scan.one_edit(*x) for x in (("pump", "pup"), ("pup", "pump"), ("pump", "pumps"), ("pump", "bump"), ("a", "")))
+    assert not any(scan.one_edit(*x) for x in (("pump", "pump"), ("pump", "pu"), ("pump", "upmp"), ("abcd", "abdc")))
