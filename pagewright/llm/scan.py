@@ -47,6 +47,7 @@ _WITH_NUMBER = re.compile(r"(?:\s{2,}|\t)[-–—(\[]?\s*(?:\d{1,5}|[ivxlc]{1,7}
 _ROMAN = re.compile(r"^(?=[ivxlc])(?:x[cl]|l?x{0,3})(?:i[xv]|v?i{0,3})$", re.I)
 _BREAK = ("-", "­", "¬")
 _THREE_LETTERS = re.compile(r"(?:[^\W\d_].*?){3}", re.S)
+_TOKEN = re.compile(r"(?:[^\W_]|[@|])+")
 _NO_HEADER = re.compile(r"[|;\t]")
 
 # Characters and sequences that recognisers confuse; after them, all spellings of a word look the same.
@@ -114,7 +115,26 @@ def misread(candidates: list[tuple[str, int, str, int]]) -> dict[str, str]:
 def line_skeleton(line: str) -> str:
     """The skeleton of a line, without a page number beside it; whole numbers and codes are all the same."""
     line = _WITH_NUMBER.sub("", line)
-    return " ".join("#" if sum(c.isdigit() for c in t) * 2 >= len(t) else skeleton(t) for t in tokens(line.lower()))
+    return " ".join(map(_mark, tokens(line.lower())))
+
+
+def _mark(t: str) -> str:
+    return skeleton(t) if t.isalpha() or sum(map(str.isdigit, t)) * 2 < len(t) else "#"
+
+
+@functools.lru_cache(maxsize=100_000)
+def line_ends(line: str) -> tuple[str, str]:
+    """The first and the last word of :func:`edge_key`, without making all of it: lines that agree in neither aren't one edit apart either."""
+    if not _THREE_LETTERS.search(line):
+        return line.partition(" ")[0], line.rpartition(" ")[2]
+    tail = line[-80:]
+    if "  " in tail or "\t" in tail:
+        tail = _WITH_NUMBER.sub("", tail)
+    last = _TOKEN.findall(tail)
+    if len(last) < 2 < len(line) - len(tail):
+        key = edge_key(line)
+        return key.partition(" ")[0], key.rpartition(" ")[2]
+    return _mark(_TOKEN.search(line)[0].lower()), _mark(last[-1].lower()) if last else ""
 
 
 def is_page_number(line: str) -> bool:
@@ -309,10 +329,9 @@ def _extraction_counts(texts: DataFrame) -> DataFrame:
                     _count(n.seen, n.ends, p)
                     n.tops.update(line_skeleton(x) for x in first[: EDGE if len(p) > 3 else 1] if _can_be_header(x))
                 if len(pages) > 1:
-                    tops = [line_skeleton(x[0]) if _can_be_header(x[0]) else "" for x in firsts if x]
-                    for k in tops:
-                        if k:
-                            n.edges["h" if tops.count(k) > 1 else "b"].update(k.split())
+                    for k, many in Counter(line_skeleton(x[0]) for x in firsts if x and _can_be_header(x[0])).items():
+                        for word in k.split():
+                            n.edges["h" if many > 1 else "b"][word] += many
             if n.full():
                 yield n.rows()
                 n = _Counts()
@@ -330,15 +349,16 @@ def _ocr_pages(lines: DataFrame) -> DataFrame:
     A page is one row; a document isn't, so its number of lines doesn't matter.
     """
     rows = lines.select(*_PAGE_OF, "idx", "line_id", F.trim("text").alias("text")).where("text IS NOT NULL AND trim(text) <> ''")
-    pages = materialise(rows.groupBy(*_PAGE_OF).agg(F.array_sort(F.collect_set(F.struct("idx", "line_id", "text"))).alias("items")), "scan-lines")
+    items = F.array_sort(F.collect_set(F.struct("idx", "line_id", "text")))
+    pages = materialise(rows.groupBy(*_PAGE_OF).agg(items.alias("items")).select(*_PAGE_OF, F.col("items.line_id").alias("ids"), F.col("items.text").alias("texts")), "scan-lines")
     kinds = dict(pages.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in _PAGE_OF)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for *page, items in zip(*(batch[c] for c in _PAGE_OF), batch["items"]):
-                texts = _distinct(items)[1]
+            for *page, ids, texts in zip(*(batch[c] for c in _PAGE_OF), batch["ids"], batch["texts"]):
+                texts = _distinct(ids, texts)[1]
                 if len(texts) > 1:
                     out += [(*page, side, d, k, on) for side in (0, 1) for d, (i, on) in enumerate(edge_lines(texts, bool(side))) for k in [edge_key(texts[i])]]
             yield pd.DataFrame(out, columns=[*_PAGE_OF, "side", "depth", "key", "on"])
@@ -361,11 +381,11 @@ def _ocr_pages(lines: DataFrame) -> DataFrame:
     return pages.join(pages.select(*_PAGE_OF).join(several, ["doc_id", "engine"]).join(marks, _PAGE_OF, "left"), _PAGE_OF, "left")
 
 
-def _distinct(items: list) -> tuple[list, list[str]]:
+def _distinct(ids, texts) -> tuple[list, list[str]]:
     """The ids and texts of a page's lines, each id once."""
-    lines = {}
-    for i in items:
-        lines.setdefault(i["line_id"], i["text"])
+    lines: dict = {}
+    for i, t in zip(ids.tolist(), texts.tolist()):
+        lines.setdefault(i, t)
     return list(lines), list(lines.values())
 
 
@@ -381,8 +401,8 @@ def _ocr_counts(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n = _Counts()
         for batch in batches:
-            for items, several, marks in zip(batch["items"], batch["several"], batch["marks"]):
-                texts = _distinct(items)[1]
+            for ids, texts, several, marks in zip(batch["ids"], batch["texts"], batch["several"], batch["marks"]):
+                texts = _distinct(ids, texts)[1]
                 _count(n.seen, n.ends, texts)
                 first = [texts[i] for i, _ in edge_lines(texts, False)]
                 n.tops.update(line_skeleton(x) for x in first[: EDGE if len(texts) > 3 else 1] if _can_be_header(x))
@@ -393,7 +413,7 @@ def _ocr_counts(rows: DataFrame) -> DataFrame:
                 n = _Counts()
         yield n.rows()
 
-    return rows.select("items", "several", "marks").mapInPandas(run, "kind string, word string, n bigint")
+    return rows.select("ids", "texts", "several", "marks").mapInPandas(run, "kind string, word string, n bigint")
 
 
 def _body_noise(lex: Lexicon, line: str, before: str | None, after: str | None, doubtful: set[str]) -> tuple[bool, bool]:
@@ -521,7 +541,7 @@ def _odd(page: list[str], marks: dict[tuple[int, int], bool], lex: Lexicon) -> s
                 break
             else:
                 first = side == 0 and d == 0 and _can_be_header(page[i])
-                again = (side, d) in marks and (first or len(page) > 1 and not text and not marks[side, d] and [edge_key(x) for x in page].count(edge_key(page[i])) == 1)
+                again = (side, d) in marks and (first or len(page) > 1 and not text and not marks[side, d] and sum(line_ends(x) == line_ends(page[i]) and edge_key(x) == edge_key(page[i]) for x in page) == 1)
                 if not again and not (side == 0 and (d == 0 or len(page) > 3) and lex.is_header(page[i])):
                     break
             found.add(i)
@@ -532,7 +552,12 @@ def _furniture(pages: list[list[str]], lex: Lexicon) -> list[set[int]]:
     """The places of the furniture on each page of an extraction."""
     if len(pages) == 1:
         return [_odd(pages[0], {}, lex)]
-    edges = [[(side, d, edge_key(p[i]), on) for side in (0, 1) for d, (i, on) in enumerate(edge_lines(p, bool(side)))] for p in pages]
+    places = [[(side, d, p[i], on) for side in (0, 1) for d, (i, on) in enumerate(edge_lines(p, bool(side)))] for p in pages]
+    # Most edge lines begin and end like no other at their place; only the others get a key.
+    ends = Counter((side, d, at, word) for e in places for side, d, x, _ in e for at, word in enumerate(line_ends(x)))
+    edges = [[(side, d, edge_key(x), on) for side, d, x, on in e if any(ends[side, d, at, word] > 1 for at, word in enumerate(line_ends(x)))] for e in places]
+    if not any(edges):
+        return [_odd(p, {}, lex) for p in pages]
     through: dict[tuple, list[bool]] = {}
     counts: dict[tuple, Counter] = {}
     for e in edges:
@@ -545,9 +570,10 @@ def _furniture(pages: list[list[str]], lex: Lexicon) -> list[set[int]]:
         for other in others:
             through[side, d, other] = through[side, d, other] + own[side, d, k]
     # What also stands inside pages is body text that comes again, as is what the text runs on through.
-    headers = {e[0][2] for p, e in zip(pages, edges) if e and e[0][:2] == (0, 0) and _can_be_header(p[edge_lines(p, False)[0][0]])}
+    headers = {edge_key(e[0][2]) for e in places if e and e[0][:2] == (0, 0) and _can_be_header(e[0][2])}
     again = {k for (side, d, k), t in through.items() if len(t) > 1 and not all(t) and not (side == d == 0 and k in headers)}
-    lines = Counter(k for p in pages for x in p if (k := edge_key(x)) in again) if again else {}
+    firsts = {k.partition(" ")[0] for k in again}
+    lines = Counter(k for p in pages for x in p if line_ends(x)[0] in firsts and (k := edge_key(x)) in again) if again else {}
     for (_, _, k), t in through.items():
         if lines.get(k, 0) > len(t) > 1:
             t[:] = [True] * len(t)
@@ -596,8 +622,8 @@ def scan_noise(extractions: DataFrame, lines: DataFrame) -> DataFrame:
         lex = shared.value
         for b in batches:
             out = []
-            for items, marks in zip(b["items"], b["marks"]):
-                keys, page = _distinct(items)
+            for ids, texts, marks in zip(b["ids"], b["texts"], b["marks"]):
+                keys, page = _distinct(ids, texts)
                 odd = _odd(page, _marks(marks), lex) if len(page) > 1 else set()  # a line alone on its page is its body
                 out += [("ocr_line", keys[i], "furniture") for i in odd]
                 places = [i for i in range(len(page)) if i not in odd]
@@ -613,7 +639,7 @@ def scan_noise(extractions: DataFrame, lines: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["record_kind", "record_id", "noise"])
 
     a = texts.mapInPandas(whole, schema)
-    b = rows.select("items", "marks").mapInPandas(single, schema)
+    b = rows.select("ids", "texts", "marks").mapInPandas(single, schema)
     return a.unionAll(b).distinct()
 
 def _repaired(lex: Lexicon, line: str) -> str:
@@ -687,8 +713,8 @@ def repaired_pages(extractions: DataFrame, lines: DataFrame) -> DataFrame:
         lex = shared.value
         for b in batches:
             out = []
-            for doc, engine, page, items, marks in zip(b["doc_id"], b["engine"], b["page_no"], b["items"], b["marks"]):
-                texts = _distinct(items)[1]
+            for doc, engine, page, ids, texts, marks in zip(b["doc_id"], b["engine"], b["page_no"], b["ids"], b["texts"], b["marks"]):
+                texts = _distinct(ids, texts)[1]
                 odd = _odd(texts, _marks(marks), lex) if len(texts) > 1 else set()
                 body = [x for i, x in enumerate(texts) if i not in odd]
                 text = _paragraphs(lex, body)
