@@ -67,6 +67,11 @@ def p6_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain ten successive words of an evaluation item."""
+    return p7_near(spark, sf_dir).where("edits = 0").select("doc_id", "item_id")
+
+
+def p7_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain ten successive words of an evaluation item with at most two characters changed, and how many."""
     return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
@@ -95,4 +100,4 @@ def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.groupBy("source").agg(F.count("*").alias("documents"), F.count_if(F.col("score") >= abuse.OFFENDING).alias("offending"), F.round(F.avg((F.col("score") >= abuse.OFFENDING).cast("double")), 6).alias("rate"), *kinds)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_repetition, p4_found, p4_statistics, p5_found, p5_repaired, p6_found, p6_classes, p7_found, p8_mix, p8_shares, p9_found, p9_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_repetition, p4_found, p4_statistics, p5_found, p5_repaired, p6_found, p6_classes, p7_found, p7_near, p8_mix, p8_shares, p9_found, p9_rates)}

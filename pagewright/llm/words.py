@@ -70,7 +70,7 @@ def _places(n: int) -> np.ndarray:
     return _factors
 
 
-def _chunks(texts: Iterable[str]) -> Iterator[tuple[int, list[bytes]]]:
+def by_chunk(texts: Iterable[str]) -> Iterator[tuple[int, list[bytes]]]:
     """Texts in lower case and UTF-8, a chunk of them at a time, with the number of the first."""
     first, held, size = 0, [], 0
     for t in texts:
@@ -104,7 +104,7 @@ def _hash_chunk(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def hashed(texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
     """(text number, 64-bit hash) of each word."""
-    out = [(first + own, h) for first, parts in _chunks(texts) for own, h in [_hash_chunk(parts)]]
+    out = [(first + own, h) for first, parts in by_chunk(texts) for own, h in [_hash_chunk(parts)]]
     if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out])
@@ -127,7 +127,7 @@ def runs_of(h: np.ndarray, size: int) -> np.ndarray:
 def shingle_sets(texts: Iterable[str], size: int, least: int) -> tuple[np.ndarray, np.ndarray]:
     """(text number, hash of RUN_BITS bits) of the distinct runs of `size` words, sorted; texts of fewer than `least` words have none."""
     out = []
-    for base, parts in _chunks(texts):
+    for base, parts in by_chunk(texts):
         owner, h = _hash_chunk(parts)
         last = len(h) - size + 1
         if last <= 0:
