@@ -124,6 +124,24 @@ def fusion_counts(fused: DataFrame) -> DataFrame:
     return fused.groupBy(*PAGE).agg(F.count("*").alias("lines"), n("tesseract").alias("selected_from_tesseract"), n("paddleocr").alias("selected_from_paddle"), n("both").alias("agreed"), F.count_if("conflict").alias("conflicts"))
 
 
+def assemble(pages: DataFrame, lines: DataFrame, regions: DataFrame) -> DataFrame:
+    """(doc_id, page_no, text) of pages(doc_id, page_no, text): the text of each page as it is published.
+
+    A page without lines keeps its native text; where that can't be trusted, its lines stand instead; else the lines it
+    doesn't hold follow it, under a header. Repeated pages give one row; null texts count as empty. Lines are gathered
+    by page, which is a bounded group.
+    """
+    own = pages.select(*PAGE, F.coalesce("text", F.lit("")).alias("text"))
+    seen = lines.where("text IS NOT NULL").select("line_id", *PAGE, "idx", "text", "polygon")
+    open_ = uncovered(seen, regions, own).withColumn("open", F.lit(True))
+    line = F.concat(G.position_label(G.hull(F.col("polygon"))), F.lit(" "), "text")
+    rows = seen.join(open_, "line_id", "left").groupBy(*PAGE).agg(F.array_sort(F.collect_list(F.struct("idx", "line_id", line.alias("line"), "open"))).alias("items"))
+    section = lambda header, items: F.array_join(F.concat(F.array(F.lit(header)), F.transform(items, lambda s: s.line)), "\n")
+    more = F.filter("items", lambda s: s.open)
+    text = F.when(F.col("items").isNull(), F.col("text")).when(F.size(T.reasons(F.col("text"))) > 0, section(T.SECTIONS[0], F.col("items"))).when(F.size(more) > 0, F.concat_ws("\n\n", "text", section(T.SECTIONS[1], more))).otherwise(F.col("text"))
+    return own.join(rows, PAGE, "left").select(*PAGE, text.alias("text")).distinct()
+
+
 def uncovered(lines: DataFrame, regions: DataFrame, pages: DataFrame) -> DataFrame:
     """(line_id) of lines that the native text doesn't hold.
 
@@ -138,4 +156,4 @@ def uncovered(lines: DataFrame, regions: DataFrame, pages: DataFrame) -> DataFra
     hidden = near.where(fuzzy.similar_in_region(F.col("tokens"), F.col("region_tokens"))).select("line_id")
     bare = rows.where("box IS NULL").join(pages.select(*PAGE, word(F.col("text")).alias("h"), compact(F.col("text")).alias("hc")), PAGE)
     seen = bare.where(((F.length("compact") >= 8) & F.contains("hc", "compact")) | T.contains_sequence(F.col("h"), F.col("tokens"))).select("line_id")
-    return rows.select("line_id").join(hidden.unionByName(seen).distinct(), "line_id", "left_anti")
+    return rows.select("line_id").join(hidden.unionByName(seen), "line_id", "left_anti")

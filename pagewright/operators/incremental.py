@@ -12,13 +12,17 @@ two versions into record deltas.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Callable, Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagewright.session import materialise, shared_dir
+
 
 def normal_hash(column: str):
     """A content hash trimmed of white space and in lower case; a blank one is null."""
@@ -69,6 +73,31 @@ def pending_content(arrivals: DataFrame, tracked: DataFrame) -> DataFrame:
     return added.where("change = 'added'").select("file_hash")
 
 
+def pending_by_versions(arrivals: DataFrame, tracked: DataFrame) -> DataFrame:
+    """file_hash of the content that the next run must process, as :func:`pending_content`, read off the versions of a table.
+
+    The arrivals become a table's data files (version 1). A deletion vector hides the rows that a later version of their
+    path supersedes (version 2), another those whose content is committed already (version 3). What is processed is the
+    difference between the manifest a sink has stored as its last and the latest; it is committed to the sink together
+    with that version. The two tables lie in a new folder under the shared one, as both inputs are given whole. Inputs
+    and edge cases as for :func:`pending_content`.
+    """
+    spark = arrivals.sparkSession
+    folder = f"{shared_dir(spark).rstrip('/')}/pagewright/pending-{uuid.uuid4().hex}"
+    source, sink = VersionedTable(spark, f"{folder}/arrivals"), VersionedTable(spark, f"{folder}/pending")
+    seen = arrivals.select("file_path", "modified_at", "arrival_id", normal_hash("file_hash").alias("file_hash")).where("file_path IS NOT NULL").distinct()
+    source.commit(add=seen)
+    # One row a path is combined on the map side, so a path of many versions is no hot key.
+    version = F.struct("modified_at", "arrival_id", "file_hash")
+    live = source.rows(source.manifest()["files"])
+    best = live.groupBy("file_path").agg(F.max(version).alias("best"))
+    source.commit(delete=live.join(best, "file_path").where(F.col("file_hash").isNull() | (version < F.col("best"))))
+    done = committed_manifest(tracked)
+    source.commit(delete=source.rows(source.manifest()["files"]).join(done, "file_hash", "left_semi"))
+    process_new(source, sink, lambda changes: changes.where("_change = 'added'").select("file_hash").distinct())
+    return sink.snapshot()
+
+
 class CommitConflict(RuntimeError):
     """Another writer made this version first."""
 
@@ -133,28 +162,36 @@ class VersionedTable:
                     files[f"{part}/{s.getPath().getName()}"] = None
         body = json.dumps({"files": files, "properties": old["properties"] | (properties or {}), "schema": schema})
         self._fs.mkdirs(self._path("_log"))
-        temp, final = self._path(f"_log/.{uuid.uuid4().hex}"), self._path(f"_log/{base + 1:020d}.json")
-        out = self._fs.create(temp, False)
-        out.write(bytearray(body.encode()))
-        out.close()
-        if self._fs.exists(final) or not self._fs.rename(temp, final):
-            self._fs.delete(temp, False)
-            raise CommitConflict(f"version {base + 1} of {self.path} exists")
+        final = self._path(f"_log/{base + 1:020d}.json")
+        # Spark's own way to make a file as a whole and only where there is none; a cluster's setting may name another
+        # for stores without an atomic rename.
+        out = self._manager().createAtomic(final, False)
+        try:
+            out.write(bytearray(body.encode()))
+            out.close()
+        except Py4JJavaError as e:
+            out.cancel()
+            if self._fs.exists(final):
+                for name in {n.split("/")[0] for n in (files.keys() - old["files"].keys()) | {v for n, v in files.items() if v and old["files"].get(n) != v}}:
+                    self._fs.delete(self._path(name), True)
+                raise CommitConflict(f"version {base + 1} of {self.path} exists") from e
+            raise
         return base + 1
 
+    def _manager(self):
+        return self._jvm.org.apache.spark.sql.execution.streaming.checkpointing.CheckpointFileManager.create(self._path("_log"), self.spark._jsparkSession.sessionState().newHadoopConf())
+
     def _delete(self, files: dict, delete: DataFrame) -> dict:
         """Write the new vectors in one folder partitioned by file; a file's new vector holds its old one."""
         part = f"dv-{uuid.uuid4().hex}"
-        gone = delete.select("_file", "_row")
-        for name, vector in files.items():
-            if vector:
-                gone = gone.unionByName(self.spark.read.parquet(f"{self.path}/{vector}").select(F.lit(name).alias("_file"), "_row"))
-        # Positions are spread by file and range of rows, so that one large file isn't one task.
+        gone = materialise(delete.select("_file", "_row"), "deleted")
+        touched = [r["_file"] for r in gone.select("_file").distinct().collect()]  # files, which the manifest lists anyway
+        held = [f"{self.path}/{files[n]}" for n in touched if files.get(n)]
+        if held:
+            gone = gone.unionByName(self.spark.read.parquet(*held).select("_file", "_row"))
         gone = gone.distinct().withColumn("_key", F.md5("_file"))
         gone.write.partitionBy("_key").parquet(f"{self.path}/{part}")
         made = {s.getPath().getName()[5:] for s in self._fs.listStatus(self._path(part)) if s.getPath().getName().startswith("_key=")}
-        import hashlib
-
         key = {name: hashlib.md5(name.encode()).hexdigest() for name in files}
         return {name: f"{part}/_key={key[name]}" if key[name] in made else vector for name, vector in files.items()}
 

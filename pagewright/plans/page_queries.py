@@ -334,12 +334,20 @@ def o2_reading_sort(spark, sf_dir):
     return rows.groupBy(*PAGE).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "line_id"))), lambda s: s.line_id.cast("string")), ",").alias("order"))
 
 
-@query(rf"""WITH {S.A}, {S.LN}, o AS (SELECT doc_id, page_no, string_agg(text, E'\n' ORDER BY idx, line_id) AS lines FROM ln WHERE text IS NOT NULL GROUP BY ALL)
-    SELECT s.doc_id, s.page_no, sha256(CASE WHEN lines IS NULL THEN s.text WHEN len(reasons) > 0 THEN lines WHEN regexp_replace(s.text, '{S.SPACES}', '', 'g') = '' THEN lines ELSE s.text || E'\n\n' || lines END) AS hash
-    FROM s LEFT JOIN o ON o.doc_id = s.doc_id AND o.page_no = s.page_no WHERE s.page_no IS NOT NULL""")
+_HEADERS = [S.literal(x + "\n") for x in T.SECTIONS]
+
+
+@query(rf"""WITH {S.A}, {S.LN}, sp AS (SELECT DISTINCT doc_id, page_no, text, len(reasons) > 0 AS flagged, {_WD} AS h, {_CM} AS hc FROM s WHERE page_no IS NOT NULL), q AS (SELECT line_id, doc_id, page_no, idx, '[position unavailable] ' || text AS line, {_WD} AS w, {_CM} AS c FROM ln WHERE text IS NOT NULL),
+    v AS (SELECT q.*, c <> '' AND NOT coalesce((length(c) >= 8 AND contains(hc, c)) OR (len(w) > 0 AND contains(chr(31) || array_to_string(h, chr(31)) || chr(31), chr(31) || array_to_string(w, chr(31)) || chr(31))), false) AS open FROM q LEFT JOIN sp USING (doc_id, page_no)),
+    o AS (SELECT doc_id, page_no, string_agg(line, E'\n' ORDER BY idx, line_id) AS lines, string_agg(line, E'\n' ORDER BY idx, line_id) FILTER (open) AS more FROM v GROUP BY ALL)
+    SELECT doc_id, page_no, sha256(CASE WHEN lines IS NULL THEN text WHEN flagged THEN {_HEADERS[0]} || lines WHEN more IS NOT NULL THEN text || E'\n\n' || {_HEADERS[1]} || more ELSE text END) AS hash FROM sp LEFT JOIN o USING (doc_id, page_no)""")
 def f5_assemble_page(spark, sf_dir):
-    pages = views.pages(spark, sf_dir).where("page_no IS NOT NULL").withColumn("flagged", F.size(T.reasons(F.col("text"))) > 0)
-    items = F.array_sort(F.collect_list(F.struct("idx", "line_id", "text")))
-    seen = views.lines(spark, sf_dir).where("text IS NOT NULL").groupBy(*PAGE).agg(F.array_join(F.transform(items, lambda s: s.text), "\n").alias("lines"))
-    text = F.when(F.col("lines").isNull(), F.col("text")).when(F.col("flagged") | T.is_blank(F.col("text")), F.col("lines")).otherwise(F.concat_ws("\n\n", "text", "lines"))
-    return pages.join(seen, PAGE, "left").select(*PAGE, F.sha2(text, 256).alias("hash")).distinct()
+    """Pages with the lines of one engine whose boxes aren't known, so that SQL can say what they cover."""
+    bare = views.lines(spark, sf_dir).withColumn("polygon", F.lit(None).cast("array<struct<x:double,y:double>>"))
+    pages = views.pages(spark, sf_dir).where("page_no IS NOT NULL")
+    return fusion.assemble(pages, bare, views.line_regions(spark, sf_dir)).select(*PAGE, F.sha2("text", 256).alias("hash"))
+
+
+@query()
+def f5_assemble_boxed(spark, sf_dir):
+    return fusion.assemble(views.pages(spark, sf_dir).where("page_no IS NOT NULL"), views.lines(spark, sf_dir), views.line_regions(spark, sf_dir)).select(*PAGE, F.sha2("text", 256).alias("hash"))

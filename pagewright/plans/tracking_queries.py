@@ -238,7 +238,8 @@ def process_p1_status_outcome(spark, sf_dir):
     return rows.select("id", F.when(F.col("status") == "COMPLETE", "skipped").when(F.col("reusable"), "reused").when(F.col("broken"), "failed").otherwise("extract").alias("outcome"))
 
 
-_AT = """WITH RECURSIVE nd AS (SELECT DISTINCT id AS doc_id, CASE WHEN id % 10 <> 0 THEN id - id % 10 + (id % 10 - 1) // 3 END AS parent_id, ((id % 10 - 1) % 3 + 1)::INT AS idx, filename, substr(trim(lower(file_hash)), 1, 1) AS file_hash, status, extraction_method, page_count FROM tracked_documents),
+_AT = """WITH RECURSIVE nd AS (SELECT DISTINCT k.id AS doc_id, nullif(k.id // 3, 0) AS parent_id, (k.id % 3 + 1)::INT AS idx, k.filename, coalesce(g.h, trim(lower(k.file_hash))) AS file_hash, k.status, k.extraction_method, k.page_count
+        FROM tracked_documents k LEFT JOIN (SELECT DISTINCT id, trim(lower(file_hash)) AS h FROM tracked_documents) g ON k.id % 50 = 0 AND g.id = k.id // 9),
     tr AS (SELECT doc_id, doc_id AS root_id, 0 AS depth, coalesce(filename, 'attachment.pdf') AS path, []::VARCHAR[] AS ancestors, file_hash, false AS cycle FROM nd WHERE parent_id IS NULL
     UNION ALL SELECT a.doc_id, t.root_id, t.depth + 1, t.path || '.embedded/' || printf('%04d', a.idx) || '-' || coalesce(a.filename, 'attachment.pdf'), list_append(t.ancestors, t.file_hash), a.file_hash, coalesce(list_contains(list_append(t.ancestors, t.file_hash), a.file_hash), false)
     FROM nd a JOIN tr t ON a.parent_id = t.doc_id WHERE NOT t.cycle)"""

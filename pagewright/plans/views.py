@@ -70,11 +70,13 @@ def line_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def attachments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, parent_id, idx, filename, file_hash): tracked documents as a tree of arity three, of depth up to 10."""
-    rows = table(spark, sf_dir, "tracked_documents").dropDuplicates(["id"])
+    """(doc_id, parent_id, idx, filename, file_hash): tracked documents as one tree of arity three, whose depth grows with the logarithm of the table; each fiftieth has the content of the parent of its parent."""
+    rows = table(spark, sf_dir, "tracked_documents").dropDuplicates(["id"]).withColumn("own", F.trim(F.lower("file_hash")))
     k = F.col("id")
-    parent = F.when(k % 10 != 0, k - k % 10 + F.floor((k % 10 - 1) / 3)).cast("bigint")
-    return rows.select(k.alias("doc_id"), parent.alias("parent_id"), ((k % 10 - 1) % 3 + 1).cast("int").alias("idx"), "filename", F.substring(F.trim(F.lower("file_hash")), 1, 1).alias("file_hash"), "status", "extraction_method", "page_count")
+    parent = F.floor(k / 3).cast("bigint")
+    above = rows.select(k.alias("above"), F.col("own").alias("theirs"))
+    rows = rows.join(above, (k % 50 == 0) & (F.floor(k / 9).cast("bigint") == F.col("above")), "left")
+    return rows.select(k.alias("doc_id"), F.when(parent > 0, parent).alias("parent_id"), (k % 3 + 1).cast("int").alias("idx"), "filename", F.coalesce("theirs", "own").alias("file_hash"), "status", "extraction_method", "page_count")
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:

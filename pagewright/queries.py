@@ -11,7 +11,7 @@ from pagewright.session import table
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Content that the next run must still process."""
-    return incremental.pending_content(table(spark, sf_dir, "file_arrivals"), table(spark, sf_dir, "tracked_documents"))
+    return incremental.pending_by_versions(table(spark, sf_dir, "file_arrivals"), table(spark, sf_dir, "tracked_documents"))
 
 
 def p3_changes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,13 +30,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, and only where that is unset a local one."""
+    """The folder all executors share: spark.checkpoint.dir, and where that is unset, on this machine alone, one that ends with the driver."""
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         return conf
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir isn't set: executors of a cluster need a folder that all of them share")
+    import atexit
+    import shutil
     import tempfile
 
     made = "file://" + tempfile.mkdtemp(prefix="pagewright-")
+    atexit.register(shutil.rmtree, made.removeprefix("file://"), ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", made)
     return made
 

@@ -11,7 +11,10 @@ T = lambda d: dt.datetime(2031, 3, d)
 
 
 def pending(spark, arrivals, tracked):
-    return sorted(r[0] for r in I.pending_content(spark.createDataFrame(arrivals, ARRIVALS), spark.createDataFrame(tracked, TRACKED)).collect())
+    a, t = spark.createDataFrame(arrivals, ARRIVALS), spark.createDataFrame(tracked, TRACKED)
+    both = [sorted(r[0] for r in f(a, t).collect()) for f in (I.pending_content, I.pending_by_versions)]
+    assert both[0] == both[1]
+    return both[0]
 
 
 def test_current_version_and_commits(spark):
@@ -70,6 +73,8 @@ def test_processing_survives_failure_and_rivals(spark, tmp_path):
     source.commit(add=spark.range(5, 6).toDF("k"))
     assert I.process_new(source, sink, step) == 3
     assert sorted(r["k"] for r in sink.snapshot().collect()) == list(range(6))
+    before = {p.name for p in (tmp_path / "o").iterdir()}
     with pytest.raises(I.CommitConflict):
         sink.commit(add=spark.range(1).toDF("k"), base=sink.version() - 1)
     assert sorted(r["k"] for r in sink.snapshot().collect()) == list(range(6))
+    assert {p.name for p in (tmp_path / "o").iterdir()} == before  # the loser leaves no files behind
