@@ -8,6 +8,7 @@ of every document. Words are first rid of disguises: spaced, repeated, swapped a
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -18,8 +19,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagewright.session import materialise
+
 #: Labelled documents the model is fitted on at most (the rest, by a hash of their ids, is left out), weights, passage length in words.
 MOST_LABELLED, BITS, LONGEST = 20_000, 18, 14
+#: Bytes of labelled texts that are brought to the driver at most.
+MOST_BYTES = 100_000_000
 LEAST_POSITIVE = 2
 #: Scores below and above which a label that says otherwise is left out, and the share of either sort that may be.
 DOUBT, MOST_WRONG = (0.05, 0.6), 0.2
@@ -40,8 +45,14 @@ _SWAP = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t
 
 def plain_words(text: str) -> list[str]:
     """Words without accents, case and swapped or repeated letters; a word with masked letters becomes its ends and '*', numbers '0'."""
+    return [w for t in text.lower().split() for w in _plain(t)]
+
+
+@functools.lru_cache(maxsize=300_000)
+def _plain(token: str) -> tuple[str, ...]:
+    """The plain words of what stands between blanks; most comes again, so it is kept."""
     out = []
-    for w in _TOKEN.findall(text.lower()):
+    for w in _TOKEN.findall(token):
         if w.isdigit():
             out.append("0")
             continue
@@ -57,7 +68,7 @@ def plain_words(text: str) -> list[str]:
                 continue
             w = w.translate(_SWAP)
         out.append(_REPEAT.sub(r"\1", w))
-    return out
+    return tuple(out)
 
 
 def passages(text: str) -> list[str]:
@@ -78,10 +89,29 @@ def passages(text: str) -> list[str]:
 def features(passage: str) -> list[int]:
     """Places of a passage's words, pairs of words, pairs with one word between, and word beginnings."""
     w = plain_words(passage)
-    names = [*w, *(f"{a} {b}" for a, b in zip(w, w[1:])), *(f"{a} _ {b}" for a, b in zip(w, w[2:])), *(f"{x[:5]}-" for x in w if len(x) > 5)]
-    if any("*" in x for x in w):
-        names.append("*")
-    return sorted({xxhash.xxh32_intdigest(x) & ((1 << BITS) - 1) for x in names})
+    out = {k for x in w for k in _word(x)}
+    out.update(map(_pair, w, w[1:]))
+    out.update(map(_apart, w, w[2:]))
+    return sorted(out)
+
+
+def _place(name: str) -> int:
+    return xxhash.xxh32_intdigest(name) & ((1 << BITS) - 1)
+
+
+@functools.lru_cache(maxsize=300_000)
+def _word(x: str) -> tuple[int, ...]:
+    return (_place(x), *([_place(f"{x[:5]}-")] if len(x) > 5 else []), *([_place("*")] if "*" in x else []))
+
+
+@functools.lru_cache(maxsize=500_000)
+def _pair(a: str, b: str) -> int:
+    return _place(f"{a} {b}")
+
+
+@functools.lru_cache(maxsize=500_000)
+def _apart(a: str, b: str) -> int:
+    return _place(f"{a} _ {b}")
 
 
 class Bags:
@@ -196,7 +226,7 @@ def scores(texts: list[str], models: np.ndarray) -> tuple[np.ndarray, list[str]]
 
 
 def fit(docs: DataFrame, labels: DataFrame, kinds: bool = False) -> np.ndarray:
-    """The model for any of the kinds, and with `kinds` one for each, from at most MOST_LABELLED labelled documents.
+    """The model for any of the kinds, and with `kinds` one for each, from at most MOST_LABELLED labelled documents of MOST_BYTES together.
 
     A document's target is the share of its labels that are of the kind; repeated labels count once. Without labels of
     both sorts the model finds nothing.
@@ -205,7 +235,15 @@ def fit(docs: DataFrame, labels: DataFrame, kinds: bool = False) -> np.ndarray:
     marks = labels.select("doc_id", "label", "reviewer").distinct().where("doc_id IS NOT NULL AND label IS NOT NULL")
     marks = marks.groupBy("doc_id").agg(F.avg((F.col("label") != "none").cast("double")).alias("any"), *target)
     marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_LABELLED)
-    rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(marks), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    own = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(marks), "doc_id").dropDuplicates(["doc_id"])
+    own = materialise(own.withColumn("bytes", F.octet_length("text")), "abuse-labelled")
+    taken, size = [], 0
+    for r in own.select("doc_id", "bytes").orderBy(F.xxhash64("doc_id"), "doc_id").collect():  # MOST_LABELLED pairs of numbers
+        size += r["bytes"]
+        if size > MOST_BYTES:
+            break
+        taken.append(r["doc_id"])
+    rows = (own if len(taken) == MOST_LABELLED or size <= MOST_BYTES else own.where(F.col("doc_id").isin(taken))).orderBy("doc_id").collect()
     targets = ["any", *KINDS] if kinds else ["any"]
     bags = Bags([r["text"] for r in rows])
     out = np.zeros((len(targets), (1 << BITS) + 1))
@@ -233,3 +271,31 @@ def score(docs: DataFrame, models: np.ndarray) -> DataFrame:
             yield pd.DataFrame({"doc_id": b["doc_id"], "passage": worst, **{n: values[:, i] for i, n in enumerate(names)}})
 
     return docs.select("doc_id", "text").mapInPandas(run, "doc_id bigint, passage string, " + ", ".join(f"{n} double" for n in names)).distinct()
+
+
+def offending_passages(docs: DataFrame, models: np.ndarray, least: float = 0.1) -> DataFrame:
+    """(doc_id, place, passage, probability) of the sentences, or windows of longer ones, that are offensive by themselves with at least this probability by the first model; place counts from 0.
+
+    Inputs and edge cases as for :func:`score`.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(models[0])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        w = shared.value
+        for b in batches:
+            ids, places, parts, at, size = [], [], [], [], []
+            for d, t in zip(b["doc_id"], b["text"]):
+                for k, p in enumerate(passages(t or "")):
+                    f = features(p)
+                    at += f
+                    size.append(len(f))
+                    ids.append(d)
+                    places.append(k)
+                    parts.append(p)
+            row = np.repeat(np.arange(len(parts)), size)
+            z = np.bincount(row, weights=w[np.array(at, np.int64)], minlength=len(parts)) + w[-1] if parts else np.zeros(0)
+            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            ok = np.flatnonzero(p >= least)
+            yield pd.DataFrame({"doc_id": [ids[i] for i in ok], "place": [places[i] for i in ok], "passage": [parts[i] for i in ok], "probability": p[ok]})
+
+    return docs.select("doc_id", "text").mapInPandas(run, "doc_id bigint, place int, passage string, probability double").distinct()

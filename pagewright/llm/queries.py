@@ -65,6 +65,13 @@ def p6_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.similar_classes(table(spark, sf_dir, "pdf_extractions"))
 
 
+def p6_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The groups of extractions that links of p6_found hold together, with the file names of their tracked documents."""
+    groups = neardup.similar_groups(table(spark, sf_dir, "pdf_extractions"), threshold=0.5, shingle=3, least=20)
+    names = table(spark, sf_dir, "tracked_documents").groupBy(F.col("id").alias("doc_id")).agg(F.max("filename").alias("filename"))
+    return groups.join(names, "doc_id", "left")
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain ten successive words of an evaluation item."""
     return p7_near(spark, sf_dir).where("edits = 0").select("doc_id", "item_id")
@@ -95,9 +102,16 @@ def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The share of offending documents of each source, and the mean score of each kind; unknown sources count together."""
     docs = table(spark, sf_dir, "documents")
     marks = abuse.score(docs, abuse.fit(docs, table(spark, sf_dir, "review_labels"), kinds=True))
-    rated = docs.select("doc_id", "source").join(marks, "doc_id")
+    rated = docs.select("doc_id", "source").distinct().join(marks, "doc_id")
     kinds = [F.round(F.avg(k), 6).alias(k) for k in abuse.KINDS]
     return rated.groupBy("source").agg(F.count("*").alias("documents"), F.count_if(F.col("score") >= abuse.OFFENDING).alias("offending"), F.round(F.avg((F.col("score") >= abuse.OFFENDING).cast("double")), 6).alias("rate"), *kinds)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_repetition, p4_found, p4_statistics, p5_found, p5_repaired, p6_found, p6_classes, p7_found, p7_near, p8_mix, p8_shares, p9_found, p9_rates)}
+def p9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sentences that made documents offending, with their probabilities."""
+    docs = table(spark, sf_dir, "documents")
+    found = abuse.offending_passages(docs, abuse.fit(docs, table(spark, sf_dir, "review_labels")))
+    return found.withColumn("probability", F.round("probability", 6))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_repetition, p4_found, p4_statistics, p5_found, p5_repaired, p6_found, p6_classes, p6_groups, p7_found, p7_near, p8_mix, p8_shares, p9_found, p9_rates, p9_passages)}
