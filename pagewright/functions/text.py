@@ -32,7 +32,7 @@ def stripped(c: Column) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    return F.regexp_replace(c, SPACE, "") == ""
+    return ~c.rlike(r"(?U)\S")
 
 
 def words(c: Column) -> Column:
@@ -52,17 +52,17 @@ def collapsed(c: Column) -> Column:
     return stripped(F.regexp_replace(casefold(c), SPACE, " "))
 
 
-def count_of(c: Column, pattern: str) -> Column:
-    """How many characters of a class a text has."""
-    return F.length(c) - F.length(F.regexp_replace(c, pattern, ""))
+def count_of(c: Column, others: str) -> Column:
+    """How many characters of a class a text has, given a pattern of runs of all others: these are fewer than the characters."""
+    return F.length(F.regexp_replace(c, others, ""))
 
 
 def alnum_count(c: Column) -> Column:
-    return count_of(c, r"[\p{L}\p{N}]")
+    return count_of(c, r"[^\p{L}\p{N}]+")
 
 
 def alpha_count(c: Column) -> Column:
-    return count_of(c, r"\p{L}")
+    return count_of(c, r"\P{L}+")
 
 
 def alpha_ratio(c: Column) -> Column:
@@ -71,33 +71,43 @@ def alpha_ratio(c: Column) -> Column:
 
 
 def suspicious_words(c: Column) -> Column:
-    return F.size(F.filter(words(c), lambda w: w.rlike(SUSPICIOUS)))
+    # A text without the patterns has no word with them, so most texts aren't cut into words.
+    return F.when(c.rlike(SUSPICIOUS), F.size(F.filter(words(c), lambda w: w.rlike(SUSPICIOUS)))).otherwise(0 * F.length(c))
 
 
-def too_little(c: Column) -> Column:
-    return (alnum_count(c) < 20) & (alpha_count(c) < 5) & (F.size(words(c)) < 2)
+def too_little(c: Column, alnum: Column | None = None, alpha: Column | None = None) -> Column:
+    alnum, alpha = alnum_count(c) if alnum is None else alnum, alpha_count(c) if alpha is None else alpha
+    return F.when((alnum < 20) & (alpha < 5), F.size(words(c)) < 2).otherwise(alnum < 0)
 
 
-def low_alpha(c: Column) -> Column:
-    return ~too_little(c) & (alnum_count(c) >= 100) & (alpha_ratio(c) < 0.05)
+def low_alpha(c: Column, alnum: Column | None = None, alpha: Column | None = None) -> Column:
+    alnum, alpha = alnum_count(c) if alnum is None else alnum, alpha_count(c) if alpha is None else alpha
+    return (alnum >= 100) & (alpha < 0.05 * alnum)
 
 
 def has_control(c: Column) -> Column:
     return c.rlike(r"[\x00-\x08\x0B\x0E-\x1F]")
 
 
+def odd_count(c: Column) -> Column:
+    return F.length(c) - F.length(F.regexp_replace(c, ODD_CHARACTERS, ""))
+
+
 def is_suspicious(c: Column) -> Column:
-    return (suspicious_words(c) >= 2) | (count_of(c, ODD_CHARACTERS) >= 2)
+    return (suspicious_words(c) >= 2) | (odd_count(c) >= 2)
 
 
-def reasons(c: Column) -> Column:
-    """Why a text layer can't be trusted, in order; empty if it can."""
+def reasons(c: Column, alnum: Column | None = None, alpha: Column | None = None) -> Column:
+    """Why a text layer can't be trusted, in order; empty if it can. alnum, alpha: its counts, where they are known already."""
+    if alnum is None or alpha is None:
+        # Bound by a lambda, so that a text is counted once and not once for each check.
+        return F.transform(F.array(F.struct(alnum_count(c).alias("alnum"), alpha_count(c).alias("alpha"))), lambda n: reasons(c, n.alnum, n.alpha))[0]
     checks = (
         (is_blank(c), "empty_text"),
         (c.contains("�"), "replacement_character"),
         (has_control(c), "control_character"),
-        (too_little(c), "too_little_text"),
-        (low_alpha(c), "very_low_alphabetic_ratio"),
+        (too_little(c, alnum, alpha), "too_little_text"),
+        (low_alpha(c, alnum, alpha), "very_low_alphabetic_ratio"),
         (is_suspicious(c), "suspicious_character_patterns"),
     )
     return F.array_compact(F.array(*[F.when(test, F.lit(name)) for test, name in checks]))

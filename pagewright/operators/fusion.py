@@ -14,6 +14,7 @@ from pagewright.functions import fuzzy
 from pagewright.functions import geometry as G
 from pagewright.functions import scoring as S
 from pagewright.functions import text as T
+from pagewright.session import materialise
 
 PAGE = ["doc_id", "page_no"]
 
@@ -41,8 +42,12 @@ def candidates(first: DataFrame, second: DataFrame) -> DataFrame:
     row = F.coalesce(F.when(boxed, G.same_row(a, b)), F.lit(False))
     # Where both boxes are known and share no row, no similarity can make a pair, so the costly function isn't asked.
     pairs = first.join(second, PAGE).withColumns({"overlap": overlap, "row": row, "boxed": boxed}).where("NOT boxed OR row")
-    pairs = pairs.withColumn("similarity", fuzzy.similarity(F.col("anorm"), F.col("bnorm")))
     near = (F.col("overlap") >= G.TOUCH) | (F.coalesce(G.horizontal_gap(a, b), F.lit(9.0)) <= G.NEAR)
+    # Two texts can't be more alike than their lengths; what this leaves too low needs no matching.
+    m, n = F.length("anorm"), F.length("bnorm")
+    most = F.coalesce(F.try_divide(2.0 * F.least(m, n), m + n), F.lit(0.0)) + 1e-9
+    pairs = pairs.where(F.when(F.col("boxed"), ((most >= 0.72) & near) | (F.col("overlap") >= G.COVER)).otherwise(most >= 0.86))
+    pairs = pairs.withColumn("similarity", fuzzy.similarity(F.col("anorm"), F.col("bnorm")))
     ok = F.when(F.col("boxed"), ((F.col("similarity") >= 0.72) & near) | (F.col("overlap") >= G.COVER)).otherwise(F.col("similarity") >= 0.86)
     return pairs.where(ok).withColumn("weight", 0.6 * F.col("similarity") + 0.4 * F.col("overlap"))
 
@@ -95,8 +100,9 @@ def fuse(lines: DataFrame, regions: DataFrame, page_scores: DataFrame) -> DataFr
     page_scores(doc_id, page_no, first, second): rounded scores of the two engines. Where one engine is clearly better
     its lines are the page; else matched lines are reduced to the better one and the others of both engines stay.
     """
-    first, second = side(lines, "tesseract", "a"), side(lines, "paddleocr", "b")
-    pairs = match(candidates(first, second))
+    # Each is used several times: written once instead of made again.
+    first, second = materialise(side(lines, "tesseract", "a"), "fuse-first"), materialise(side(lines, "paddleocr", "b"), "fuse-second")
+    pairs = materialise(match(candidates(first, second)), "fuse-pairs")
     support = native_support(lines, regions)
     matched = pairs.join(first, [*PAGE, "ak"]).join(second, [*PAGE, "bk"])
     for p, e in (("a", "tesseract"), ("b", "paddleocr")):

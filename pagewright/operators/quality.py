@@ -13,7 +13,9 @@ from pagewright.functions import text as T
 def assess_pages(pages: DataFrame) -> DataFrame:
     """(doc_id, page_no, counts, alpha_ratio, reasons, ocr_recommended) of pages(doc_id, page_no, text)."""
     t = F.col("text")
-    rows = pages.select("doc_id", "page_no", F.length(t).alias("characters"), T.alnum_count(t).alias("alnum"), T.alpha_count(t).alias("alpha"), F.round(T.alpha_ratio(t), 4).alias("alpha_ratio"), T.reasons(t).alias("reasons"))
+    rows = pages.select("doc_id", "page_no", "text", F.length(t).alias("characters"), T.alnum_count(t).alias("alnum"), T.alpha_count(t).alias("alpha"))
+    ratio = F.when(F.col("alnum") > 0, F.col("alpha") / F.col("alnum")).otherwise(F.lit(0.0))
+    rows = rows.select("doc_id", "page_no", "characters", "alnum", "alpha", F.round(ratio, 4).alias("alpha_ratio"), T.reasons(t, F.col("alnum"), F.col("alpha")).alias("reasons"))
     return rows.withColumn("ocr_recommended", F.size("reasons") > 0)
 
 

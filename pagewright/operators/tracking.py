@@ -138,7 +138,7 @@ def sidecar_state(sidecars: DataFrame, engine: str, threshold: float) -> DataFra
     extraction_method. A missing engine means paddleocr; native text is refused only for a very low share of letters.
     """
     c = F.col
-    low = F.exists(F.filter(F.split("text", T.PAGE_MARK), lambda p: ~T.is_blank(p)), T.low_alpha)
+    low = F.exists(F.filter(F.split("text", T.PAGE_MARK), lambda p: ~T.is_blank(p)), lambda p: T.low_alpha(p))
     checks = [
         (~c("file_hash").eqNullSafe(c("expected_hash")), "hash"),
         (~c("pipeline_version").eqNullSafe(F.lit(PIPELINE_VERSION)), "version"),

@@ -55,7 +55,7 @@ def t6_too_little_or_low_alpha(spark, sf_dir):
 
 @query(f"WITH {S.A} SELECT doc_id, page_no, odd_words, odd_chars, r6 AS suspicious FROM a")
 def t7_suspicious_patterns(spark, sf_dir):
-    return _pages(spark, sf_dir, odd_words=T.suspicious_words(_t()), odd_chars=T.count_of(_t(), T.ODD_CHARACTERS), suspicious=T.is_suspicious(_t()))
+    return _pages(spark, sf_dir, odd_words=T.suspicious_words(_t()), odd_chars=T.odd_count(_t()), suspicious=T.is_suspicious(_t()))
 
 
 @query(f"WITH {S.A} SELECT doc_id, page_no, array_to_string(reasons, ',') AS reasons, len(reasons) > 0 AS ocr_recommended FROM s")
