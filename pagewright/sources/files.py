@@ -54,29 +54,38 @@ def read_sidecars(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     return meta.join(texts, "stem", "left").select("stem", "m.*", "text")
 
 
-def publish_texts(rows: DataFrame, folder: str) -> None:
-    """Write each row (path, text) as a file under a shared folder, by a temporary name that is then replaced, so that no reader sees half a file.
+def publish(rows: DataFrame, folder: str) -> None:
+    """Write each row (path, body) as a file under a shared folder, by a temporary name that is then replaced, so that no reader sees half a file.
 
-    A task that is run again writes the same files. The folder must be one that all executors see.
+    body is a text or bytes; where it is null, a file of that name is removed, if there is one. A task that is run again
+    does the same. The folder must be one that all executors see, as a mounted path or with the scheme file.
     """
+    if "://" in folder and not folder.startswith("file://"):
+        raise ValueError(f"{folder} isn't a mounted folder")
+    folder = folder.removeprefix("file://")
 
     def write(part) -> None:
+        import contextlib
         import os
         import tempfile
 
         for r in part:
             to = os.path.join(folder, r["path"])
+            if r["body"] is None:
+                with contextlib.suppress(OSError):
+                    os.unlink(to)
+                continue
             os.makedirs(os.path.dirname(to), exist_ok=True)
             handle, temp = tempfile.mkstemp(dir=os.path.dirname(to))
             try:
-                with os.fdopen(handle, "w", encoding="utf-8") as f:
-                    f.write(r["text"])
+                with os.fdopen(handle, "wb") as f:
+                    f.write(r["body"].encode() if isinstance(r["body"], str) else bytes(r["body"]))
                     f.flush()
                     os.fsync(f.fileno())
                 os.replace(temp, to)
             except BaseException:
-                if os.path.exists(temp):
+                with contextlib.suppress(OSError):
                     os.unlink(temp)
                 raise
 
-    rows.select("path", "text").foreachPartition(write)
+    rows.select("path", "body").foreachPartition(write)

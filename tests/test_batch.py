@@ -28,14 +28,21 @@ def test_batch_twice(spark, tmp_path):
     text = (tmp_path / "output/sub/same.txt").read_text()
     assert text.startswith("DOCUMENT: same.PDF\n\n=== PAGE 1 ===\n\nhello\n\n=== PAGE 2 ===") and text.endswith("third\n")
     assert json.loads((tmp_path / "output/good.json").read_text())["page_count"] == 3 and not (tmp_path / "output/bad.txt").exists()
+    assert (tmp_path / "failed/bad.pdf").read_bytes() == b"bad" and (tmp_path / "output/good.cleaned.txt").exists()
     (tmp_path / "input/bad.pdf").write_bytes(b"mended")
     counts, code = batch.run(spark, settings, Fake)
     assert code == 0 and counts["documents"] == 1 and counts["skipped"] == 2
     rows = VersionedTable(spark, f"{tmp_path}/output/_tracker").snapshot().collect()
     assert sorted((r["filename"], r["status"]) for r in rows) == [("bad.pdf", "COMPLETE"), ("bad.pdf", "FAILED"), ("good.pdf", "COMPLETE"), ("same.PDF", "COMPLETE")]
     assert len({r["id"] for r in rows}) == 4
+    assert not (tmp_path / "failed/bad.pdf").exists() and (tmp_path / "output/bad.txt").exists()
     counts, code = batch.run(spark, settings, Fake)
     assert (counts["documents"], counts["skipped"], code) == (0, 3, 0)
+    # What was published goes when the file's next version can't be read.
+    (tmp_path / "input/good.pdf").write_bytes(b"bad")
+    counts, code = batch.run(spark, settings, Fake)
+    assert code == 1 and counts["failed"] == 1 and (tmp_path / "failed/good.pdf").exists()
+    assert not any((tmp_path / f"output/good.{x}").exists() for x in ("txt", "json", "cleaned.txt")) and (tmp_path / "output/sub/same.txt").exists()
 
 
 def test_empty_tree(spark, tmp_path):

@@ -68,7 +68,7 @@ def test_files(spark, tmp_path):
     got = files.in_order(files.scan_pdfs(spark, str(tmp_path))).select("path", files.content_hash(F.col("content")).alias("h")).collect()
     assert [r["path"].rsplit("/", 1)[1] for r in got] == ["first.PDF", "second.pdf"] and len({r["h"] for r in got}) == 1
     out = tmp_path / "out"
-    files.publish_texts(spark.createDataFrame([("x/y.txt", "hello"), ("z.txt", "")], "path string, text string"), str(out))
+    files.publish(spark.createDataFrame([("x/y.txt", "hello"), ("z.txt", "")], "path string, body string"), str(out))
     assert (out / "x/y.txt").read_text() == "hello" and (out / "z.txt").read_text() == ""
     (out / "z.json").write_text('{"file_hash": "h"}')
     (out / "bad.json").write_text("{")
