@@ -6,11 +6,15 @@ elements and of the order of arguments is part of the result. Equal pairs within
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, StringType
+from pyspark.sql.types import DoubleType, StringType
+
+from pagewright.functions import text as T
 
 ALIKE = 0.82
 
@@ -53,23 +57,26 @@ def token_support(first: pd.Series, second: pd.Series) -> pd.Series:
     return _each(lambda a, b: sum(_matches(t, b, 2) for t in a) / len(a) if a else 0.0, first, second).astype(float)
 
 
-def _in_region(needle: tuple, region: tuple) -> bool:
-    n = len(needle)
-    if not n:
-        return False
-    if any(region[i : i + n] == needle for i in range(len(region) - n + 1)):
-        return True
-    if len("".join(needle)) < 6:
-        return False
-    text = " ".join(needle)
-    windows = (region[i : i + k] for k in range(max(1, n - 1), min(len(region), n + 1) + 1) for i in range(len(region) - k + 1))
-    return any(SequenceMatcher(None, text, " ".join(w)).ratio() >= ALIKE for w in windows)
+def similar_in_region(pairs: DataFrame, key: str, needle: str, region: str) -> DataFrame:
+    """(key) of the pairs whose needle stands in the region, or about as many of the region's tokens are alike; both are token arrays.
+
+    Windows of the region and their bound, that no ratio exceeds twice the shorter length by both, are columns: only
+    windows within it, of needles of six characters and more that don't stand there as they are, reach the matcher.
+    """
+    needle, region = F.col(needle), F.col(region)
+    text, n, m = F.array_join(needle, " "), F.size(needle), F.size(region)
+    sizes = F.filter(F.array(n - 1, n, n + 1), lambda k: (k >= 1) & (k <= m))
+    windows = F.flatten(F.transform(sizes, lambda k: F.transform(F.sequence(F.lit(1), m - k + 1), lambda i: F.array_join(F.slice(region, i, k), " "))))
+    close = F.filter(windows, lambda w: 2.0 * F.least(F.length(w), F.length(text)) >= (ALIKE - 1e-9) * (F.length(w) + F.length(text)))
+    there = T.contains_sequence(region, needle)
+    rows = pairs.select(key, there.alias("there"), text.alias("text"), F.when(~there & (n > 0) & (F.length(F.array_join(needle, "")) >= 6), close).alias("asked"))
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            alike = _each(lambda t, cs: cs is not None and any(SequenceMatcher(None, t, c).ratio() >= ALIKE for c in cs), b["text"], b["asked"])
+            yield b.loc[b["there"].to_numpy(bool) | alike.to_numpy(bool), [key]]
 
-@F.pandas_udf(BooleanType())
-def similar_in_region(needle: pd.Series, region: pd.Series) -> pd.Series:
-    """Whether a window of the region's tokens, about as long as the needle, is equal or alike."""
-    return _each(_in_region, needle, region).astype(bool)
+    return rows.where("there OR size(asked) > 0").mapInPandas(run, f"{key} {dict(pairs.dtypes)[key]}")
 
 
 @F.pandas_udf(DoubleType())

@@ -159,7 +159,7 @@ def uncovered(lines: DataFrame, regions: DataFrame, pages: DataFrame) -> DataFra
     rows = lines.select("line_id", *PAGE, G.hull(F.col("polygon")).alias("box"), word(F.col("text")).alias("tokens"), compact(F.col("text")).alias("compact")).where("compact <> ''")
     theirs = regions.select(*PAGE, F.col("box").alias("region_box"), word(F.col("text")).alias("region_tokens")).where("region_box IS NOT NULL")
     near = rows.where("box IS NOT NULL").join(theirs, PAGE).where(G.overlap_of_first(F.col("box"), F.col("region_box")) >= 0.5)
-    hidden = near.where(fuzzy.similar_in_region(F.col("tokens"), F.col("region_tokens"))).select("line_id")
+    hidden = fuzzy.similar_in_region(near, "line_id", "tokens", "region_tokens")
     bare = rows.where("box IS NULL").join(pages.select(*PAGE, word(F.col("text")).alias("h"), compact(F.col("text")).alias("hc")), PAGE)
     seen = bare.where(((F.length("compact") >= 8) & F.contains("hc", "compact")) | T.contains_sequence(F.col("h"), F.col("tokens"))).select("line_id")
     return rows.select("line_id").join(hidden.unionByName(seen), "line_id", "left_anti")

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
+import re
+import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,38 +51,42 @@ def clean(texts: DataFrame, key: str = "doc_id") -> DataFrame:
     return texts.select(key, "text").mapInPandas(run, f"{key} {kind}, cleaned string")
 
 
+_PLACE = re.compile(T.POSITION)
+_GAPS = re.compile(r"[\t ]+")
+
+
 def clean_text(text: str) -> str:
     """One transcript, cleaned. A final line feed follows unless nothing is left."""
-    import re
-    import unicodedata
-
-    place = re.compile(T.POSITION)
-    out: list[str] = []
-    kept: dict[str, list[tuple]] | None = None
-    for raw in unicodedata.normalize("NFC", text.replace(" ", " ")).splitlines():
-        line = raw.strip()
-        if line in T.SECTIONS:
-            kept = {}
-            continue
-        if line.startswith("=== PAGE ") and line.endswith(" ==="):
-            kept = None
-        mark = place.match(line)
-        where = tuple(map(float, mark.groups())) if mark and mark[1] is not None else None
-        line = re.sub(r"[\t ]+", " ", line[mark.end() :] if mark else line).strip()
-        if not line:
-            if out and out[-1]:
-                out.append("")
+    lines = [x.strip() for x in unicodedata.normalize("NFC", text.replace("\u00a0", " ")).splitlines()]
+    # A header opens a section, a page mark ends it: lines get the number of the header they follow, or 0.
+    marks = [(i, 0 if x not in T.SECTIONS else i + 1) for i, x in enumerate(lines) if x in T.SECTIONS or x.startswith("=== PAGE ") and x.endswith(" ===")]
+    section = np.zeros(len(lines), np.int64)
+    for (at, number), (end, _) in zip(marks, [*marks[1:], (len(lines), 0)]):
+        section[at:end] = number
+    places = [_PLACE.match(x) for x in lines]
+    bodies = pd.Series([_GAPS.sub(" ", x[p.end() :] if p else x).strip() for x, p in zip(lines, places)], dtype=object)
+    shown = ~pd.Series(lines, dtype=object).isin(T.SECTIONS).to_numpy(bool)
+    # Only lines of the same words in the same section can be repeats of each other.
+    inside = pd.DataFrame({"section": section, "words": [" ".join(x.casefold().split()) for x in bodies]})[shown & (section > 0) & (bodies != "").to_numpy(bool)]
+    for _, same in inside[inside.duplicated(keep=False)].groupby(["section", "words"]):
+        boxes = [tuple(map(float, p.groups())) if (p := places[i]) and p[1] is not None else None for i in same.index]
+        shown[_repeats(list(same.index), boxes)] = False
+    blocks = [list(g) for full, g in itertools.groupby(bodies[shown], bool) if full]
+    return "\n\n".join("\n".join(b) for b in blocks) + "\n" if blocks else ""
+
+
+def _repeats(rows: list[int], boxes: list[tuple | None]) -> list[int]:
+    """The rows whose box covers, or is covered by, that of an earlier row which stays itself."""
+    stay: list[tuple] = []
+    gone = []
+    for row, box in zip(rows, boxes):
+        if box is None:
             continue
-        if kept is not None:
-            # Only repeats of the same words can be dropped, so only their boxes are kept together.
-            same = kept.setdefault(" ".join(line.casefold().split()), [])
-            if where and any(o and _covered(where, o) for o in same):
-                continue
-            same.append(where)
-        out.append(line)
-    while out and not out[-1]:
-        out.pop()
-    return "\n".join(out) + "\n" if out else ""
+        if any(_covered(box, other) for other in stay):
+            gone.append(row)
+        else:
+            stay.append(box)
+    return gone
 
 
 def _covered(a: tuple, b: tuple) -> bool:
