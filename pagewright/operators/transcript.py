@@ -7,7 +7,6 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,18 +59,22 @@ def clean_text(text: str) -> str:
     lines = [x.strip() for x in unicodedata.normalize("NFC", text.replace("\u00a0", " ")).splitlines()]
     # A header opens a section, a page mark ends it: lines get the number of the header they follow, or 0.
     marks = [(i, 0 if x not in T.SECTIONS else i + 1) for i, x in enumerate(lines) if x in T.SECTIONS or x.startswith("=== PAGE ") and x.endswith(" ===")]
-    section = np.zeros(len(lines), np.int64)
+    section = [0] * len(lines)
     for (at, number), (end, _) in zip(marks, [*marks[1:], (len(lines), 0)]):
-        section[at:end] = number
+        section[at:end] = [number] * (end - at)
     places = [_PLACE.match(x) for x in lines]
-    bodies = pd.Series([_GAPS.sub(" ", x[p.end() :] if p else x).strip() for x, p in zip(lines, places)], dtype=object)
-    shown = ~pd.Series(lines, dtype=object).isin(T.SECTIONS).to_numpy(bool)
+    bodies = [_GAPS.sub(" ", x[p.end() :] if p else x).strip() for x, p in zip(lines, places)]
+    shown = [x not in T.SECTIONS for x in lines]
     # Only lines of the same words in the same section can be repeats of each other.
-    inside = pd.DataFrame({"section": section, "words": [" ".join(x.casefold().split()) for x in bodies]})[shown & (section > 0) & (bodies != "").to_numpy(bool)]
-    for _, same in inside[inside.duplicated(keep=False)].groupby(["section", "words"]):
-        boxes = [tuple(map(float, p.groups())) if (p := places[i]) and p[1] is not None else None for i in same.index]
-        shown[_repeats(list(same.index), boxes)] = False
-    blocks = [list(g) for full, g in itertools.groupby(bodies[shown], bool) if full]
+    alike: dict[tuple[int, str], list[int]] = {}
+    for i, (number, x) in enumerate(zip(section, bodies)):
+        if number and x and shown[i]:
+            alike.setdefault((number, " ".join(x.casefold().split())), []).append(i)
+    for rows in alike.values():
+        if len(rows) > 1:
+            for i in _repeats(rows, [tuple(map(float, p.groups())) if (p := places[i]) and p[1] is not None else None for i in rows]):
+                shown[i] = False
+    blocks = [list(g) for full, g in itertools.groupby(itertools.compress(bodies, shown), bool) if full]
     return "\n\n".join("\n".join(b) for b in blocks) + "\n" if blocks else ""
 
 
