@@ -254,4 +254,6 @@ def x7_exact_coverage(spark, sf_dir):
 
 @query()
 def x6_similar_in_region(spark, sf_dir):
-    return _two(spark, sf_dir).select("line_id", fuzzy.similar_in_region(T.tokens(F.col("b")), T.tokens(F.col("a"))).alias("similar"))
+    pairs = _two(spark, sf_dir).select("line_id", T.tokens(F.col("b")).alias("needle"), T.tokens(F.col("a")).alias("region"))
+    found = fuzzy.similar_in_region(pairs, "line_id", "needle", "region").withColumn("similar", F.lit(True))
+    return pairs.select("line_id").join(found, "line_id", "left").select("line_id", F.coalesce("similar", F.lit(False)).alias("similar"))
