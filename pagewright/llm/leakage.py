@@ -28,8 +28,8 @@ BLOCK, STEPS = 32, 96
 MEASURED, MOST_WALKS = 2_000, 64
 #: Keys up to which the index is sent around; beyond that documents' windows are filtered by a bit for each key and joined.
 BROADCAST_KEYS, FILTER_BITS = 4_000_000, 26
-#: First bytes of an item's window that also begin a window inside a word.
-GLUED = 6
+#: First bytes of an item's window that also begin a window inside a word, and bits of the hash that they are told by: the same whether the index is sent around or joined, as what is found depends on it.
+GLUED, GLUED_BITS = 6, 20
 #: Pieces of a window that are compared before its edit distance is taken.
 PIECES = 5
 _PAD = STEPS + 8
@@ -202,11 +202,12 @@ def leaks(docs: DataFrame, items: DataFrame, words: int = 10, edits: int = 2, re
 
     index = materialise(index, "leak-index")
     bitmap = _collected_filter(index, "key", FILTER_BITS)
-    starts = spark.sparkContext.broadcast((bitmap, _collected_filter(index.select(F.xxhash64(F.substring("window", 1, GLUED)).alias("key")), "key", 22)))
+    begun = index.select(F.substring("window", 1, GLUED).alias("window")).distinct().mapInPandas(_begun, "key bigint").distinct()
+    starts = spark.sparkContext.broadcast((bitmap, _collected_filter(begun, "key", GLUED_BITS)))
 
     def emitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bitmap, _ = starts.value
-        for ids, buffer, chars, at, owner in _laid_documents(batches, None):
+        bitmap, glued = starts.value
+        for ids, buffer, chars, at, owner in _laid_documents(batches, glued):
             hit = _hits(chars, at, plan, edits, bitmap)
             place = at[hit[0]]
             yield pd.DataFrame({"key": hit[1].view(np.int64), "doc_id": ids[owner[hit[0]]], "found": [buffer[p : p + longest].split(b"\0", 1)[0] for p in place]}).drop_duplicates()
@@ -251,13 +252,22 @@ def _collected_filter(rows: DataFrame, key: str, bits: int) -> np.ndarray:
 
 def _glued(windows: pd.Series) -> np.ndarray:
     """A bit for each beginning of a window."""
-    long_ = [w[:GLUED] for w in windows.unique() if len(w) >= GLUED]
-    out = np.zeros(1 << 20, bool)
-    if long_:
-        out[_beginnings(np.frombuffer(b"".join(long_), np.uint8))[::GLUED]] = True
+    out = np.zeros(1 << GLUED_BITS, bool)
+    out[_places(windows)] = True
     return out
 
 
+def _begun(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The places of :func:`_glued` as the first bits of keys."""
+    for b in batches:
+        yield pd.DataFrame({"key": (_places(b["window"]).astype(np.uint64) << np.uint64(64 - GLUED_BITS)).view(np.int64)})
+
+
+def _places(windows: pd.Series) -> np.ndarray:
+    long_ = [w[:GLUED] for w in windows.unique() if len(w) >= GLUED]
+    return np.unique(_beginnings(np.frombuffer(b"".join(long_), np.uint8))[::GLUED])
+
+
 def _beginnings(chars: np.ndarray) -> np.ndarray:
     """A hash of the GLUED bytes from each place on."""
     n = max(0, len(chars) - GLUED + 1)
@@ -266,10 +276,10 @@ def _beginnings(chars: np.ndarray) -> np.ndarray:
         h *= np.uint32(0x01000193)
         h += chars[k : k + n]
     h *= np.uint32(0x9E3779B1)
-    return h >> np.uint32(12)
+    return h >> np.uint32(32 - GLUED_BITS)
 
 
-def _laid_documents(batches: Iterator[pd.DataFrame], glued: np.ndarray | None) -> Iterator[tuple]:
+def _laid_documents(batches: Iterator[pd.DataFrame], glued: np.ndarray) -> Iterator[tuple]:
     """(ids, buffer, its bytes, where windows begin, the number of the document of each), a chunk of documents at a time."""
     gap = b" " + b"\0" * _PAD + b" "
     for b in batches:
@@ -281,9 +291,8 @@ def _laid_documents(batches: Iterator[pd.DataFrame], glued: np.ndarray | None) -
             edge = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1
             at = (np.cumsum(inside) - 1)[edge]
             at = at[chars[at] != 0]
-            if glued is not None:
-                more = np.flatnonzero(glued.take(_beginnings(chars)))
-                at = np.union1d(at, more[chars[more] != 0]) if len(more) else at
+            more = np.flatnonzero(glued.take(_beginnings(chars)))
+            at = np.union1d(at, more[chars[more] != 0]) if len(more) else at
             if not len(at):
                 continue
             zero = np.cumsum(chars == 0)
@@ -313,7 +322,7 @@ class _Index:
         self.keys, self.pair = rows["key"].to_numpy(np.int64).view(np.uint64)[order], code[order]
         # Pieces of eight bytes, apart from each other, of each window.
         self.pieces = np.array([min(PIECES, len(w) // 8) for _, w in self.pairs], np.int64)
-        self.wide = np.array([max(w) >= 0xE0 for _, w in self.pairs], bool)
+        self.wide = np.array([max(w) >= 0x80 for _, w in self.pairs], bool)
         self.offset, self.piece = np.zeros((len(self.pairs), PIECES), np.int64), np.zeros((len(self.pairs), PIECES), np.uint64)
         for i, (_, w) in enumerate(self.pairs):
             for j in range(self.pieces[i]):
@@ -321,17 +330,17 @@ class _Index:
                 self.offset[i, j], self.piece[i, j] = at, int.from_bytes(w[at : at + 8], "little")
 
     def possible(self, buffer: bytes, place: np.ndarray, pair: np.ndarray, edits: int) -> np.ndarray:
-        """Whether enough pieces of a window stand about where they should: an edit spoils one, or two where characters are wide, and shifts what follows by as many bytes as a character has."""
+        """Whether enough pieces of a window stand about where they should: an edit spoils one, or two where characters are wide, and shifts what follows by as many bytes as a character has, those of the text having up to four."""
         padded = b"\0" * 64 + buffer + b"\0" * 64
         eight = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
-        far = edits * (4 if self.wide[pair].any() else 2)
+        back, far = edits * (4 if self.wide[pair].any() else 1), edits * 4
         alive = np.arange(len(place))
         missed = np.zeros(len(place), np.int64)
         for j in range(PIECES):
             k = pair[alive]
             at, want = place[alive] + self.offset[k, j] + 64, self.piece[k, j]
             hit = j >= self.pieces[k]
-            for shift in range(-far, far + 1):
+            for shift in range(-back, far + 1):
                 hit |= eight.take(at + shift, mode="clip") == want
             missed[alive] += ~hit
             alive = alive[missed[alive] <= edits * (1 + self.wide[k])]
