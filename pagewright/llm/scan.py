@@ -44,6 +44,7 @@ _PAGE = re.compile(r"^=== PAGE \d+ ===\s*$", re.M)
 # Forms of page numbers.
 _NUMBER = re.compile(r"^(?:(?:page|seite|página|pagina|p\.|s\.|pág\.|pag\.)\s*)?[-–—(\[]?\s*(?:[\dOolI|]{1,5}|[ivxlc]{1,7})\s*[-–—)\]]?(?:\s*(?:of|von|de|sur|/)\s*[\dOolI|]{1,5})?$", re.I)
 _WITH_NUMBER = re.compile(r"(?:\s{2,}|\t)[-–—(\[]?\s*(?:\d{1,5}|[ivxlc]{1,7})\s*[-–—)\]]?$")
+_NUMBER_ENDS = frozenset("ivxlc-–—)]")
 _ROMAN = re.compile(r"^(?=[ivxlc])(?:x[cl]|l?x{0,3})(?:i[xv]|v?i{0,3})$", re.I)
 _BREAK = ("-", "­", "¬")
 _THREE_LETTERS = re.compile(r"(?:[^\W\d_].*?){3}", re.S)
@@ -152,7 +153,9 @@ def pages_of(text: str) -> list[list[str]]:
 
 
 def _can_be_header(line: str) -> bool:
-    line = _WITH_NUMBER.sub("", line)
+    last = line[-1:]
+    if last in _NUMBER_ENDS or last.isdigit() or last.isspace():  # else no number stands there
+        line = _WITH_NUMBER.sub("", line)
     return len(line) <= LONGEST and not line.endswith((".", ",", ";", *_BREAK)) and not _NO_HEADER.search(line) and bool(_THREE_LETTERS.search(line))
 
 
@@ -524,13 +527,13 @@ def near_keys(counts: Counter) -> dict[str, set[str]]:
     return out
 
 
-def _odd(page: list[str], marks: dict[tuple[int, int], bool], lex: Lexicon) -> set[int]:
-    """The places of the furniture on a page. marks: for each (0 top or 1 bottom, depth) that comes again on other pages, whether the text runs on through it on all of them."""
+def _odd(page: list[str], marks: dict[tuple[int, int], bool], lex: Lexicon, edges: tuple[list, list] | None = None) -> set[int]:
+    """The places of the furniture on a page. edges: its edge lines at the top and the bottom, if they are known. marks: for each (0 top or 1 bottom, depth) that comes again on other pages, whether the text runs on through it on all of them."""
     found: set[int] = set()
     for side in (0, 1) if len(page) > 1 else (0,):
-        depths = {i: d for d, (i, _) in enumerate(edge_lines(page, bool(side)))}
+        depths = {i: d for d, (i, _) in enumerate(edges[side] if edges else edge_lines(page, bool(side)))}
         # If more comes again than furniture has, the text itself is repeated.
-        text = all((side, d) in marks for d in range(EDGE + 1))
+        text = bool(marks) and all((side, d) in marks for d in range(EDGE + 1))
         for k in range(min(len(page), 2 * EDGE)):
             i = len(page) - 1 - k if side else k
             d = depths.get(i)
@@ -552,12 +555,14 @@ def _furniture(pages: list[list[str]], lex: Lexicon) -> list[set[int]]:
     """The places of the furniture on each page of an extraction."""
     if len(pages) == 1:
         return [_odd(pages[0], {}, lex)]
-    places = [[(side, d, p[i], on) for side in (0, 1) for d, (i, on) in enumerate(edge_lines(p, bool(side)))] for p in pages]
+    sides = [(edge_lines(p, False), edge_lines(p, True)) for p in pages]
+    places = [[(side, d, p[i], on) for side in (0, 1) for d, (i, on) in enumerate(both[side])] for p, both in zip(pages, sides)]
     # Most edge lines begin and end like no other at their place; only the others get a key.
-    ends = Counter((side, d, at, word) for e in places for side, d, x, _ in e for at, word in enumerate(line_ends(x)))
-    edges = [[(side, d, edge_key(x), on) for side, d, x, on in e if any(ends[side, d, at, word] > 1 for at, word in enumerate(line_ends(x)))] for e in places]
+    at_ends = [[((side, d, 0, first), (side, d, 1, last)) for side, d, x, _ in e for first, last in (line_ends(x),)] for e in places]
+    ends = Counter(x for e in at_ends for pair in e for x in pair)
+    edges = [[(side, d, edge_key(x), on) for (side, d, x, on), (first, last) in zip(e, own) if ends[first] > 1 or ends[last] > 1] for e, own in zip(places, at_ends)]
     if not any(edges):
-        return [_odd(p, {}, lex) for p in pages]
+        return [_odd(p, {}, lex, both) for p, both in zip(pages, sides)]
     through: dict[tuple, list[bool]] = {}
     counts: dict[tuple, Counter] = {}
     for e in edges:
@@ -586,7 +591,7 @@ def _furniture(pages: list[list[str]], lex: Lexicon) -> list[set[int]]:
                 found[side, d] = all(all(t) for t in seen)
         return found
 
-    return [_odd(p, marks(e), lex) for p, e in zip(pages, edges)]
+    return [_odd(p, marks(e), lex, both) for p, e, both in zip(pages, edges, sides)]
 
 
 def scan_noise(extractions: DataFrame, lines: DataFrame) -> DataFrame:
