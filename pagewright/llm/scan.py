@@ -21,7 +21,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.session import materialise
@@ -44,9 +44,12 @@ _PAGE = re.compile(r"^=== PAGE \d+ ===\s*$", re.M)
 # Forms of page numbers.
 _NUMBER = re.compile(r"^(?:(?:page|seite|página|pagina|p\.|s\.|pág\.|pag\.)\s*)?[-–—(\[]?\s*(?:[\dOolI|]{1,5}|[ivxlc]{1,7})\s*[-–—)\]]?(?:\s*(?:of|von|de|sur|/)\s*[\dOolI|]{1,5})?$", re.I)
 _WITH_NUMBER = re.compile(r"(?:\s{2,}|\t)[-–—(\[]?\s*(?:\d{1,5}|[ivxlc]{1,7})\s*[-–—)\]]?$")
+#: What no page number ends in.
+_NO_NUMBER_ENDS = frozenset(c for c in map(chr, range(33, 127)) if not c.isdigit() and c not in "|oOlLiIvVxXcC-)]")
 _NUMBER_ENDS = frozenset("ivxlc-–—)]")
 _ROMAN = re.compile(r"^(?=[ivxlc])(?:x[cl]|l?x{0,3})(?:i[xv]|v?i{0,3})$", re.I)
 _BREAK = ("-", "­", "¬")
+_BROKEN = tuple(x + "\n" for x in _BREAK)
 _THREE_LETTERS = re.compile(r"(?:[^\W\d_].*?){3}", re.S)
 _TOKEN = re.compile(r"(?:[^\W_]|[@|])+")
 _NO_HEADER = re.compile(r"[|;\t]")
@@ -119,6 +122,7 @@ def line_skeleton(line: str) -> str:
     return " ".join(map(_mark, tokens(line.lower())))
 
 
+@functools.lru_cache(maxsize=200_000)
 def _mark(t: str) -> str:
     return skeleton(t) if t.isalpha() or sum(map(str.isdigit, t)) * 2 < len(t) else "#"
 
@@ -131,13 +135,21 @@ def line_ends(line: str) -> tuple[str, str]:
     tail = line[-80:]
     if "  " in tail or "\t" in tail:
         tail = _WITH_NUMBER.sub("", tail)
-    last = _TOKEN.findall(tail)
+    if len(tail) < len(line) or not (last := _TOKEN.findall(tail.rpartition(" ")[2])):
+        last = _TOKEN.findall(tail)
     if len(last) < 2 < len(line) - len(tail):
         key = edge_key(line)
         return key.partition(" ")[0], key.rpartition(" ")[2]
     return _mark(_TOKEN.search(line)[0].lower()), _mark(last[-1].lower()) if last else ""
 
 
+def line_start(line: str) -> str:
+    """The first of :func:`line_ends`, without looking for the other where it doesn't matter to it."""
+    if len(line) > 80 or "  " in line or "\t" in line:
+        return line_ends(line)[0]
+    return _mark(_TOKEN.search(line)[0].lower()) if _THREE_LETTERS.search(line) else line.partition(" ")[0]
+
+
 def is_page_number(line: str) -> bool:
     s = line.strip()
     if not _NUMBER.match(s):
@@ -149,7 +161,7 @@ def is_page_number(line: str) -> bool:
 def pages_of(text: str) -> list[list[str]]:
     """The lines of each page of an extraction, blank ones left out."""
     parts = _PAGE.split(text)
-    return [[x.strip() for x in p.splitlines() if x.strip()] for p in parts if p.strip()]
+    return [lines for p in parts if (lines := [x for x in map(str.strip, p.splitlines()) if x])]
 
 
 def _can_be_header(line: str) -> bool:
@@ -172,6 +184,7 @@ def can_be_misread(token: str) -> bool:
     return is_word(token) and (len(token) > 2 or not token.isalpha())
 
 
+@functools.lru_cache(maxsize=1_000)
 def split_parts(line: str, after: str | None) -> tuple[str, str] | None:
     """The two halves of a word that a line may be broken in, if it ends in a hyphen and goes on in a small letter."""
     if not line.endswith(_BREAK) or len(line) < 2 or not after:
@@ -188,15 +201,22 @@ class Lexicon:
     def __init__(self, wrong: dict[str, str], known: set[str], splits: set[tuple[str, str]], headers: set[str]):
         self.wrong, self.commonest, self.splits, self.headers = wrong, known, splits, headers
         self._fine: set[bytes] = set()
+        self._bad: dict[bytes, str] = {}
+        self._words: dict[str, bool] = {}
 
     def doubtful(self, text: str) -> set[str]:
         """Those of a text's tokens, as they are written, that are misread words."""
         out = set()
         for raw in set(raw_tokens(text)) - self._fine:
+            if raw in self._bad:
+                out.add(self._bad[raw])
+                continue
             t = raw.decode("utf-8", "surrogatepass")
             low = t.lower()
             if is_word(t) and self.right(low) != low:
                 out.add(t)
+                if len(self._bad) < 1_000_000:
+                    self._bad[raw] = t
             elif len(self._fine) < 1_000_000:
                 self._fine.add(raw)
         return out
@@ -208,6 +228,15 @@ class Lexicon:
     def known(self, token: str) -> bool:
         return self.right(token) in self.commonest
 
+    def is_known_word(self, token: str) -> bool:
+        """Whether a token, as it is written, is a word, and a known one when it is read right."""
+        found = self._words.get(token)
+        if found is None:
+            found = is_word(token) and self.known(token.lower())
+            if len(self._words) < 1_000_000:
+                self._words[token] = found
+        return found
+
     def is_split(self, line: str, after: str | None) -> bool:
         """Whether a line ends inside a word that was split there."""
         if not line.endswith(_BREAK) or len(line) < 2:
@@ -226,7 +255,8 @@ class Lexicon:
 
 def _count(n: Counter, ends: set, lines: list[str], after: str | None = None) -> None:
     """Count the words of lines that follow each other, hyphens kept; halves of broken words count as seen 0 times, as do the words they make. ends: gets the halves."""
-    if any(x.endswith(_BREAK) for x in lines):
+    text = "\n".join(lines)
+    if text.endswith(_BREAK) or any(x in text for x in _BROKEN):
         whole, skip = [], False
         for x, then in zip(lines, [*lines[1:], after]):
             broken = x.endswith(_BREAK)
@@ -239,8 +269,8 @@ def _count(n: Counter, ends: set, lines: list[str], after: str | None = None) ->
             x = x.partition(" ")[2] if skip else x
             whole.append(x.rpartition(" ")[0] if broken else x)
             skip = broken
-        lines = whole
-    n.update(raw_tokens("\n".join(lines).lower(), _WITH_HYPHENS))
+        text = "\n".join(whole)
+    n.update(raw_tokens(text.lower(), _WITH_HYPHENS))
 
 
 def _occur(n: Counter, text: str) -> None:
@@ -368,17 +398,20 @@ def _ocr_pages(lines: DataFrame) -> DataFrame:
 
     edges = materialise(pages.mapInPandas(run, schema + ", side int, depth int, key string, on boolean"), "scan-edges")
     place = ["doc_id", "engine", "side", "depth"]
-    # A line is also taken for the commonest of the lines that agree with it in one half, if one edit parts them.
-    keys = edges.groupBy(*place, "key").agg(F.count("*").alias("pages"))
-    words = F.split("key", " ")
-    at = F.ceil(F.size(words) / 2).cast("int")
-    half = F.array(F.concat(F.lit("a"), F.array_join(F.slice(words, F.lit(1), at), " ")), F.concat(F.lit("b"), F.array_join(F.slice(words, at + 1, F.size(words)), " ")))
-    parts = keys.where((F.size(words) > 1) & (F.length("key") >= NEAR)).select(*place, "key", "pages", F.explode(half).alias("half"))
-    best = parts.groupBy(*place, "half").agg(F.max(F.struct("pages", "key")).alias("best")).select(*place, "half", F.col("best.key").alias("other"))
-    near = parts.join(best, [*place, "half"]).where((F.col("key") != F.col("other")) & (F.levenshtein("key", "other", 1) == 1)).select(*place, "key", "other").distinct()
-    named = materialise(edges.unionByName(edges.join(near, [*place, "key"]).drop("key").withColumnRenamed("other", "key")), "scan-named")
-    again = named.groupBy(*place, "key").agg(F.count_distinct("page_no").alias("pages"), F.min("on").alias("through")).where("pages > 1").drop("pages")
-    marks = named.join(again, [*place, "key"]).groupBy(*_PAGE_OF).agg(F.collect_list(F.struct("side", "depth", "through")).alias("marks"))
+    # A line is also taken for the commonest of the lines that agree with it in one half, if one edit parts them. What is
+    # compared stands at one place of a document, so lines are sent around by that once, and compared where they are; a
+    # number is sorted faster than all that must agree.
+    keys = edges.repartition(*place).groupBy(*place, "key").agg(F.count("*").alias("pages"))
+    many = F.length("key") - F.length(F.replace("key", F.lit(" "), F.lit(""))) + 1
+    parts = keys.where((many > 1) & (F.length("key") >= NEAR)).select(*place, "key", "pages", many.alias("many"))
+    half = F.expr("explode(array(concat('a', substring_index(key, ' ', CAST(ceil(many / 2) AS INT))), concat('b', substring_index(key, ' ', CAST(ceil(many / 2) AS INT) - many))))")
+    parts = parts.select(*place, "key", "pages", half.alias("half"))
+    best = parts.withColumn("other", F.max(F.struct("pages", "key")).over(Window.partitionBy(F.xxhash64(*place, "half"), *place, "half"))["key"])
+    near = best.where((F.col("key") != F.col("other")) & (F.levenshtein("key", "other", 1) == 1)).select(*place, "key", "other").distinct()
+    named = edges.unionByName(edges.join(near, [*place, "key"]).drop("key").withColumnRenamed("other", "key"))
+    same = Window.partitionBy(F.xxhash64(*place, "key"), *place, "key")
+    again = named.repartition(*place).select(*_PAGE_OF, "side", "depth", (F.min("page_no").over(same) < F.max("page_no").over(same)).alias("again"), F.min("on").over(same).alias("through")).where("again")
+    marks = again.groupBy(*_PAGE_OF).agg(F.collect_list(F.struct("side", "depth", "through")).alias("marks"))
     # Documents of one page can't show what a running header is.
     several = pages.groupBy("doc_id", "engine").agg((F.max("page_no") > F.min("page_no")).alias("several")).where("several")
     return pages.join(pages.select(*_PAGE_OF).join(several, ["doc_id", "engine"]).join(marks, _PAGE_OF, "left"), _PAGE_OF, "left")
@@ -428,7 +461,7 @@ def _body_noise(lex: Lexicon, line: str, before: str | None, after: str | None,
     tail = before is not None and before.endswith(_BREAK)
     if not bad and not tail and not line.endswith(_BREAK):
         return split, False
-    raw = words = tokens(line)
+    raw = words = tokens(line) if bad or tail else []
     misread = False
     if split and (parts := split_parts(line, after)):
         a, b = (p.lower() for p in parts)
@@ -443,18 +476,29 @@ def _body_noise(lex: Lexicon, line: str, before: str | None, after: str | None,
         words = words[1:]
     if not misread and bad and not bad.isdisjoint(words):
         # Among codes or junk a token that could be a word isn't one.
-        misread = 2 * sum(lex.known(t.lower()) for t in words if is_word(t)) > len(raw)
+        misread = 2 * sum(map(lex.is_known_word, words)) > len(raw)
     return split, misread
 
 
+def _lines_to_look_at(body: list[str], text: str, doubtful: set[str]) -> Iterator[tuple[int, str, str | None, str | None]]:
+    """(place, line, the one before, the one after) of the lines that can hold noise: they are broken, follow a broken one or have a doubtful word."""
+    places = {i for t in doubtful for i, x in enumerate(body) if t in x}
+    if any(x in text for x in _BROKEN) or text.endswith(_BREAK):
+        for i, x in enumerate(body):
+            if x.endswith(_BREAK):
+                places.update((i, i + 1))
+    last = len(body) - 1
+    for i in sorted(places):
+        if i <= last:
+            yield i, body[i], body[i - 1] if i else None, body[i + 1] if i < last else None
+
+
 def _text_noise(lex: Lexicon, body: list[str]) -> set[str]:
     """The noises of a page's body; lines are only looked at one by one where there is something to find."""
-    broken = any(x.endswith(_BREAK) for x in body)
-    doubtful = lex.doubtful("\n".join(body))
-    if not broken and not doubtful:
-        return set()
+    text = "\n".join(body)
+    doubtful = lex.doubtful(text)
     found = set()
-    for before, x, after in zip([None, *body[:-1]], body, [*body[1:], None]):
+    for _, x, before, after in _lines_to_look_at(body, text, doubtful):
         split, misread = _body_noise(lex, x, before, after, doubtful)
         if split:
             found.add("hyphen")
@@ -467,7 +511,7 @@ def _text_noise(lex: Lexicon, body: list[str]) -> set[str]:
 
 def _is_number_at(page: list[str], k: int, i: int) -> bool:
     """Whether the line at place i, the k-th from its edge, is a page number there."""
-    return k < EDGE and len(page) > (1 if k == 0 else 3) and len(page[i]) <= LONGEST and is_page_number(page[i])
+    return k < EDGE and len(page) > (1 if k == 0 else 3) and page[i][-1:] not in _NO_NUMBER_ENDS and len(page[i]) <= LONGEST and is_page_number(page[i])
 
 
 def edge_lines(page: list[str], bottom: bool) -> list[tuple[int, bool]]:
@@ -527,13 +571,21 @@ def near_keys(counts: Counter) -> dict[str, set[str]]:
     return out
 
 
+def _is_alone(page: list[str], i: int) -> bool:
+    """Whether no other line of the page is the same as the one at place i."""
+    start, ends, key = line_start(page[i]), line_ends(page[i]), edge_key(page[i])
+    return not any(k != i and line_start(x) == start and line_ends(x) == ends and edge_key(x) == key for k, x in enumerate(page))
+
+
 def _odd(page: list[str], marks: dict[tuple[int, int], bool], lex: Lexicon, edges: tuple[list, list] | None = None) -> set[int]:
     """The places of the furniture on a page. edges: its edge lines at the top and the bottom, if they are known. marks: for each (0 top or 1 bottom, depth) that comes again on other pages, whether the text runs on through it on all of them."""
+    if not marks:
+        return _odd_alone(page, lex)
     found: set[int] = set()
     for side in (0, 1) if len(page) > 1 else (0,):
         depths = {i: d for d, (i, _) in enumerate(edges[side] if edges else edge_lines(page, bool(side)))}
         # If more comes again than furniture has, the text itself is repeated.
-        text = bool(marks) and all((side, d) in marks for d in range(EDGE + 1))
+        text = all((side, d) in marks for d in range(EDGE + 1))
         for k in range(min(len(page), 2 * EDGE)):
             i = len(page) - 1 - k if side else k
             d = depths.get(i)
@@ -544,23 +596,46 @@ def _odd(page: list[str], marks: dict[tuple[int, int], bool], lex: Lexicon, edge
                 break
             else:
                 first = side == 0 and d == 0 and _can_be_header(page[i])
-                again = (side, d) in marks and (first or len(page) > 1 and not text and not marks[side, d] and sum(line_ends(x) == line_ends(page[i]) and edge_key(x) == edge_key(page[i]) for x in page) == 1)
+                again = (side, d) in marks and (first or len(page) > 1 and not text and not marks[side, d] and _is_alone(page, i))
                 if not again and not (side == 0 and (d == 0 or len(page) > 3) and lex.is_header(page[i])):
                     break
             found.add(i)
     return found
 
 
+def _odd_alone(page: list[str], lex: Lexicon) -> set[int]:
+    """The places of the furniture on a page of which nothing comes again: page numbers, and at the top what looks like a header."""
+    found: set[int] = set()
+    n, d = len(page), 0
+    for i in range(min(n, 2 * EDGE)):
+        if not _is_number_at(page, i, i):
+            if d >= EDGE or not ((d == 0 or n > 3) and lex.is_header(page[i])):
+                break
+            d += 1
+        found.add(i)
+    for k in range(min(n, 2 * EDGE) if n > 1 else 0):
+        if not _is_number_at(page, k, n - 1 - k):
+            break
+        found.add(n - 1 - k)
+    return found
+
+
 def _furniture(pages: list[list[str]], lex: Lexicon) -> list[set[int]]:
     """The places of the furniture on each page of an extraction."""
     if len(pages) == 1:
         return [_odd(pages[0], {}, lex)]
     sides = [(edge_lines(p, False), edge_lines(p, True)) for p in pages]
-    places = [[(side, d, p[i], on) for side in (0, 1) for d, (i, on) in enumerate(both[side])] for p, both in zip(pages, sides)]
     # Most edge lines begin and end like no other at their place; only the others get a key.
-    at_ends = [[((side, d, 0, first), (side, d, 1, last)) for side, d, x, _ in e for first, last in (line_ends(x),)] for e in places]
-    ends = Counter(x for e in at_ends for pair in e for x in pair)
-    edges = [[(side, d, edge_key(x), on) for (side, d, x, on), (first, last) in zip(e, own) if ends[first] > 1 or ends[last] > 1] for e, own in zip(places, at_ends)]
+    edges: list[list] = [[] for _ in pages]
+    for side in (0, 1):
+        for d in range(EDGE + 1):
+            there = [(e, p[both[side][d][0]], both[side][d][1]) for e, p, both in zip(edges, pages, sides) if len(both[side]) > d]
+            ends = [line_ends(x) for _, x, _ in there] if len(there) > 1 else []
+            if len({first for first, _ in ends}) < len(ends) or len({last for _, last in ends}) < len(ends):
+                firsts, lasts = Counter(first for first, _ in ends), Counter(last for _, last in ends)
+                for (e, x, on), (first, last) in zip(there, ends):
+                    if firsts[first] > 1 or lasts[last] > 1:
+                        e.append((side, d, edge_key(x), on))
     if not any(edges):
         return [_odd(p, {}, lex, both) for p, both in zip(pages, sides)]
     through: dict[tuple, list[bool]] = {}
@@ -575,10 +650,10 @@ def _furniture(pages: list[list[str]], lex: Lexicon) -> list[set[int]]:
         for other in others:
             through[side, d, other] = through[side, d, other] + own[side, d, k]
     # What also stands inside pages is body text that comes again, as is what the text runs on through.
-    headers = {edge_key(e[0][2]) for e in places if e and e[0][:2] == (0, 0) and _can_be_header(e[0][2])}
+    headers = {edge_key(p[top[0][0]]) for p, (top, _) in zip(pages, sides) if top and _can_be_header(p[top[0][0]])}
     again = {k for (side, d, k), t in through.items() if len(t) > 1 and not all(t) and not (side == d == 0 and k in headers)}
     firsts = {k.partition(" ")[0] for k in again}
-    lines = Counter(k for p in pages for x in p if line_ends(x)[0] in firsts and (k := edge_key(x)) in again) if again else {}
+    lines = Counter(k for p in pages for x in p if line_start(x) in firsts and (k := edge_key(x)) in again) if again else {}
     for (_, _, k), t in through.items():
         if lines.get(k, 0) > len(t) > 1:
             t[:] = [True] * len(t)
@@ -631,12 +706,12 @@ def scan_noise(extractions: DataFrame, lines: DataFrame) -> DataFrame:
                 keys, page = _distinct(ids, texts)
                 odd = _odd(page, _marks(marks), lex) if len(page) > 1 else set()  # a line alone on its page is its body
                 out += [("ocr_line", keys[i], "furniture") for i in odd]
-                places = [i for i in range(len(page)) if i not in odd]
-                doubtful = lex.doubtful("\n".join(page))
-                if not doubtful and not any(x.endswith(_BREAK) for x in page):
-                    continue
-                for before, i, after in zip([None, *places[:-1]], places, [*places[1:], None]):
-                    split, misread = _body_noise(lex, page[i], None if before is None else page[before], None if after is None else page[after], doubtful)
+                if odd:
+                    page, keys = ([x for i, x in enumerate(y) if i not in odd] for y in (page, keys))
+                text = "\n".join(page)
+                doubtful = lex.doubtful(text)
+                for i, x, before, after in _lines_to_look_at(page, text, doubtful):
+                    split, misread = _body_noise(lex, x, before, after, doubtful)
                     if split:
                         out.append(("ocr_line", keys[i], "hyphen"))
                     if misread:
@@ -647,6 +722,7 @@ def scan_noise(extractions: DataFrame, lines: DataFrame) -> DataFrame:
     b = rows.select("ids", "texts", "marks").mapInPandas(single, schema)
     return a.unionAll(b).distinct()
 
+
 def _repaired(lex: Lexicon, line: str) -> str:
     """A line with its misread words put right, in the case they are written in."""
     bad = lex.doubtful(line)
