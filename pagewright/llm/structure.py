@@ -40,28 +40,56 @@ _MORE = "da do de e o os as um uma na no em com após para não w z na i do po o
 _FUNCTION = {w for ws in FUNCTION_WORDS.values() for w in ws if len(w) > 1} | {w for w in _MORE if len(w) > 1 or w > "z"}
 _LANG = {lang: {w for w in ws if sum(w in x for x in FUNCTION_WORDS.values()) == 1} for lang, ws in FUNCTION_WORDS.items()}
 _K = {c: i for i, c in enumerate(CLASSES)}
+#: Characters that are worked on at a time, so that memory doesn't grow with a batch and the arrays stay in the processor's caches.
+_CHUNK = 1 << 18
+
+
+def _parts(texts: list[str]) -> Iterator[slice]:
+    """Ranges of successive texts that have up to _CHUNK characters together, or of a single longer one."""
+    first = size = 0
+    for i, t in enumerate(texts):
+        if i > first and size + len(t) >= _CHUNK:
+            yield slice(first, i)
+            first, size = i, 0
+        size += len(t) + 1
+    if first < len(texts):
+        yield slice(first, len(texts))
+
+
+def _batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The same rows a few at a time: a batch has up to 10,000 texts or 64 MB, and the arrays over them many times that."""
+    for b in batches:
+        for part in _parts(list(b["text"])):
+            yield b.iloc[part]
 
 
 class Lines:
-    """The lines of a batch of texts and their marks."""
+    """The lines of some texts and their marks; what needs an array over characters is done for a part of the lines at a time."""
 
     def __init__(self, texts: list[str]):
         lines, owner = [], []
         for i, t in enumerate(texts):
-            part = [x for x in t.splitlines() if x.strip() and not (x.startswith("=== PAGE ") and x.rstrip().endswith("==="))]
+            part = [x.strip(" ") for x in t.splitlines() if x.strip() and not (x.startswith("=== PAGE ") and x.rstrip().endswith("==="))]
             lines += part
             owner += [i] * len(part)
         self.owner, self.texts = np.array(owner, np.int64), len(texts)
         n = self.n = len(lines)
-        lines = [x.strip(" ") for x in lines]
-        c = codes("\n".join(lines) + "\n")
+        self.size = np.array([len(x) for x in lines], np.int64)
+        self.marks = np.zeros((n, len(MARKS)))
+        self.slashes, self.ascii, self.tokens, self.words = np.zeros((4, n), np.int64)
+        self.letters, self.lang = np.zeros(n), np.zeros((n, len(LANGUAGES)))
+        for part in _parts(lines):
+            self._mark(part, lines[part])
+        self.function = self.col("function_word")
+
+    def _mark(self, part: slice, lines: list[str]) -> None:
+        n, size, marks = len(lines), self.size[part], self.marks[part]
+        c = codes("\n" + "\n".join(lines) + "\n\n").astype(np.uint16)
         kind = CLASS_OF[c]
-        size = self.size = np.array([len(x) for x in lines], np.int64)
-        start = np.r_[0, np.cumsum(size + 1)[:-1]] if n else np.zeros(0, np.int64)
-        line = np.repeat(np.arange(n), size + 1)
-        prev = np.r_[10, c[:-1]]
-        nxt = np.r_[c[1:], 10]
-        marks = self.marks = np.zeros((n, len(MARKS)))
+        prev, c, nxt = c[:-2], c[1:-1], c[2:]
+        kind_prev, kind, kind_nxt = kind[:-2], kind[1:-1], kind[2:]
+        start = np.r_[0, np.cumsum(size + 1)[:-1]]
+        line = np.repeat(np.arange(n, dtype=np.int32), size + 1)
 
         def count(name: str, where: np.ndarray) -> None:
             marks[:, _AT[name]] = np.bincount(line[where], minlength=n)
@@ -73,35 +101,29 @@ class Lines:
         count("separator", kind == _K["separator"])
         count("gap", is_space & (prev == c))
         count("dot_run", is_dot & (prev == 46))
-        count("inner_stop", (kind == _K["stop"]) & (CLASS_OF[nxt] == _K["space"]) & (CLASS_OF[prev] == _K["lower"]))
+        count("inner_stop", (kind == _K["stop"]) & (kind_nxt == _K["space"]) & (kind_prev == _K["lower"]))
         count("comma", kind == _K["comma"])
-        count("colon", (kind == _K["colon"]) & (CLASS_OF[nxt] == _K["space"]))
+        count("colon", (kind == _K["colon"]) & (kind_nxt == _K["space"]))
         # Inside words a dash, quote or a letter's sign is nothing special.
-        count("symbol", ((kind == _K["symbol"]) | (kind == _K["bullet"]) | (kind == _K["quote"]) | (kind == _K["bracket"])) & ~((CLASS_OF[prev] <= 1) & (CLASS_OF[nxt] <= 1)))
+        count("symbol", ((kind == _K["symbol"]) | (kind == _K["bullet"]) | (kind == _K["quote"]) | (kind == _K["bracket"])) & ~((kind_prev <= 1) & (kind_nxt <= 1)))
         count("control", kind == _K["control"])
-        self.slashes = np.bincount(line[c == 47], minlength=n)
-        self.ascii = np.bincount(line[(c >= 97) & (c < 123)], minlength=n)
-        if not n:
-            self.words, self.function = np.zeros(0, np.int64), np.zeros(0)
-            self.lang = np.zeros((0, len(LANGUAGES)))
-            return
-        letter = kind <= 1
-        first = letter & ~(CLASS_OF[prev] <= 1)
-        code = first & (CLASS_OF[prev] == _K["digit"]) | (kind == _K["digit"]) & (CLASS_OF[prev] <= 1)
-        count("cap_word", first & (kind == _K["upper"]) & (CLASS_OF[nxt] == _K["lower"]) & (prev != 39) & (prev != 0x2019))
-        count("low_word", first & (kind == _K["lower"]) & (CLASS_OF[nxt] == _K["lower"]))
+        self.slashes[part] = np.bincount(line[c == 47], minlength=n)
+        self.ascii[part] = np.bincount(line[(c >= 97) & (c < 123)], minlength=n)
+        first = (kind <= 1) & (kind_prev > 1)
+        code = first & (kind_prev == _K["digit"]) | (kind == _K["digit"]) & (kind_prev <= 1)
+        count("cap_word", first & (kind == _K["upper"]) & (kind_nxt == _K["lower"]) & (prev != 39) & (prev != 0x2019))
+        count("low_word", first & (kind == _K["lower"]) & (kind_nxt == _K["lower"]))
         count("code_word", code)
         # Tokens between white space.
         gap = np.flatnonzero(is_space | (kind == _K["line"]) | (c == 9))
         run = np.diff(np.r_[-1, gap]) - 1
         at = line[gap]
-        self.tokens = np.bincount(at[run > 0], minlength=n)
+        self.tokens[part] = np.bincount(at[run > 0], minlength=n)
         marks[:, _AT["long_token"]] = np.bincount(at, weights=np.where(run >= LONG, run, 0), minlength=n)
         # Ends and beginnings.
         last = start + size - 1
-        end = c[last]
-        marks[:, _AT["end_stop"]] = np.isin(CLASS_OF[end], [_K["stop"]]) & (c[np.maximum(last - 1, 0)] != 46)
-        marks[:, _AT["end_digit"]] = CLASS_OF[end] == _K["digit"]
+        marks[:, _AT["end_stop"]] = (kind[last] == _K["stop"]) & (prev[last] != 46)
+        marks[:, _AT["end_digit"]] = kind[last] == _K["digit"]
         far = len(c) - 1
         a, b, d, e = c[start], c[np.minimum(start + 1, far)], c[np.minimum(start + 2, far)], c[np.minimum(start + 3, far)]
         marks[:, _AT["lead_bullet"]] = ((CLASS_OF[a] == _K["bullet"]) | np.isin(a, [45, 0x2013, 0x2014])) & (b == 32) | (CLASS_OF[a] == _K["bullet"])
@@ -109,13 +131,13 @@ class Lines:
         digit = lambda x: CLASS_OF[x] == _K["digit"]
         marks[:, _AT["lead_number"]] = (digit(a) & close(b) & (d == 32)) | (digit(a) & digit(b) & close(d) & (e == 32)) | ((CLASS_OF[a] == _K["lower"]) & (b == 41) & (d == 32))
         own, word, distinct = split(lines, LETTERS)
-        common = np.array([w in _FUNCTION for w in distinct], bool)
-        self.words = np.bincount(own, minlength=n)
-        self.letters = np.bincount(own, weights=np.array([len(w) for w in distinct], float)[word], minlength=n) if len(word) else np.zeros(n)
-        marks[:, _AT["function_word"]] = np.bincount(own[common[word]], minlength=n) if len(word) else 0
-        per = np.array([[w in _LANG[x] for x in LANGUAGES] for w in distinct], float).reshape(-1, len(LANGUAGES))
-        self.lang = np.stack([np.bincount(own, weights=per[word, k], minlength=n) for k in range(len(LANGUAGES))], axis=1)
-        self.function = marks[:, _AT["function_word"]]
+        self.words[part] = np.bincount(own, minlength=n)
+        if len(word):
+            common = np.array([w in _FUNCTION for w in distinct], bool)
+            self.letters[part] = np.bincount(own, weights=np.array([len(w) for w in distinct], float)[word], minlength=n)
+            marks[:, _AT["function_word"]] = np.bincount(own[common[word]], minlength=n)
+            per = np.array([[w in _LANG[x] for x in LANGUAGES] for w in distinct], float)
+            self.lang[part] = np.stack([np.bincount(own, weights=per[word, k], minlength=n) for k in range(len(LANGUAGES))], axis=1)
 
     def col(self, name: str) -> np.ndarray:
         return self.marks[:, _AT[name]]
@@ -162,7 +184,7 @@ def structural_profiles(texts: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((len(PROFILES), len(MARKS)))
-        for b in batches:
+        for b in _batches(batches):
             x = Lines(list(b["text"]))
             seed, w = x.seeds(), x.weighted()
             ok = (seed >= 0) & (x.size >= LEAST_LINE)
@@ -228,7 +250,7 @@ def text_statistics(texts: DataFrame, keys: list[str]) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(structural_profiles(rows.select("text")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in _batches(batches):
             t = list(b["text"])
             n = len(t)
             x = Lines(t)
